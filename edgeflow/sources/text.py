@@ -45,8 +45,8 @@ def read_edges_text(spark, path, strict=False):
 
 def read_nodes(spark, path):
     """Vertex ids, one or several per line, separated by white space: (id)."""
-    tokens = F.explode(F.split(F.trim("value"), r"\s+"))
-    ids = spark.read.text(path).select(tokens.try_cast("bigint").alias("id"))
+    tokens = spark.read.text(path).select(F.explode(F.split("value", r"\s+")).alias("token"))
+    ids = tokens.select(F.col("token").try_cast("bigint").alias("id"))
     return ids.where(F.col("id").isNotNull())
 
 
