@@ -3,40 +3,41 @@
 from pyspark.sql import functions as F
 
 from edgeflow.operators.edges import vertices
-from edgeflow.plans.hot import SLICE_ROWS, hot_keys, slice_copies, with_slice
-from edgeflow.plans.shared import Rounds, partitions
+from edgeflow.plans.hot import SLICE_ROWS, found_once, hot_keys, settled, slice_copies, slice_keys
+from edgeflow.plans.shared import Rounds
 
 
 def bfs_distances(G, sources, max_rounds=None, slice_rows=SLICE_ROWS):
     """Hops from each source to every vertex it reaches: (source, id, dist).
 
-    A source that no edge touches gives no rows. Each round joins the frontier with the edges, drops
-    what was reached before and writes the next frontier; it stops when the frontier is empty or
-    after `max_rounds`. The edges stay partitioned by source vertex (and slice) over all rounds.
+    A source that no edge touches gives no rows. Each round sends the frontier along the edges, puts
+    what was seen before and what was reached into one aggregate, and writes the vertices that are
+    new as the next frontier; it stops when nothing is new or after `max_rounds`. The edges stay
+    partitioned by source vertex (and slice) over all rounds.
     """
     spark = G.sparkSession
-    E = G.select("src", "dst").distinct()
-    out_degrees = E.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(out_degrees, slice_rows)
-    hot = hot.persist()
-    edges = with_slice(E, "src", hot, "dst").repartition(partitions(spark), "src", "slice").persist()
+    out_degrees = G.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    hot = found_once(hot_keys(out_degrees, slice_rows))
+    edges = settled(G.select("src", "dst").distinct(), "src", hot, "dst")
     rounds = Rounds(spark, "bfs", "source bigint, id bigint")
     try:
-        seeds = vertices(G.where(F.col("src").isin(*sources) | F.col("dst").isin(*sources)))
-        seeds = seeds.where(F.col("id").isin(*sources))
+        touched = edges.where(F.col("src").isin(*sources) | F.col("dst").isin(*sources))
+        seeds = vertices(touched).where(F.col("id").isin(*sources))
         frontier = rounds.write(0, seeds.select(F.col("id").alias("source"), "id"))
         number = 0
         while not frontier.isEmpty() and (max_rounds is None or number < max_rounds):
             number += 1
             sent = slice_copies(frontier.withColumnRenamed("id", "src"), "src", hot)
-            reached = sent.join(edges, ["src", "slice"]).select("source", F.col("dst").alias("id"))
-            seen = rounds.all().select("source", "id")
-            frontier = rounds.write(
-                number, reached.distinct().join(seen, ["source", "id"], "left_anti")
+            reached = sent.join(edges, slice_keys("src", hot)).select(
+                "source", F.col("dst").alias("id"), F.lit(False).alias("seen")
             )
+            before = rounds.all().select("source", "id", F.lit(True).alias("seen"))
+            both = before.unionByName(reached).groupBy("source", "id").agg(F.max("seen").alias("seen"))
+            frontier = rounds.write(number, both.where(~F.col("seen")).select("source", "id"))
     finally:
         edges.unpersist()
-        hot.unpersist()
+        if hot is not None:
+            hot.unpersist()
     return rounds.all().select("source", "id", F.col("round").alias("dist"))
 
 

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from edgeflow.operators.edges import edge_endpoints, send_state, weighted
-from edgeflow.plans.hot import SLICE_ROWS, hot_keys, slice_copies, with_slice
-from edgeflow.plans.shared import Rounds, partitions
+from edgeflow.plans.hot import SLICE_ROWS, found_once, hot_keys, settled, slice_copies, slice_keys
+from edgeflow.plans.shared import Rounds
 
 
 def rank_contributions(G, ranks, slice_rows=SLICE_ROWS):
@@ -29,28 +29,26 @@ def chain_pagerank(edges, ranks, sink=0, iters=10):
     `sink` takes in what flows to it and each round hands it back in equal parts to the vertices
     that have an edge; it holds no rank itself afterwards. Rank sent to a vertex without an edge is
     lost. Returns (round, id, pr), rounds 1 … iters.
+
+    The state keeps each vertex beside its successor, so a round is one aggregate over the state and
+    one join with the vertices, which stay partitioned by id.
     """
-    spark = edges.sparkSession
-    edges = edges.select("src", "dst").repartition(partitions(spark), "src").persist()
-    rounds = Rounds(spark, "chain-pagerank", "id bigint, pr double")
+    edges = settled(edges.select(F.col("src").alias("id"), "dst"), "id")
+    rounds = Rounds(edges.sparkSession, "chain-pagerank", "id bigint, dst bigint, pr double")
     try:
         n = edges.count()
-        current = ranks.select("id", "pr")
+        current = rounds.write(0, edges.join(ranks.select("id", "pr"), "id", "left"))
         for number in range(1, iters + 1):
-            sent = edges.join(current.withColumnRenamed("id", "src"), "src")
-            received = sent.groupBy(F.col("dst").alias("src")).agg(F.sum("pr").alias("pr"))
-            delta = sent.where(F.col("dst") == sink).agg(F.sum("pr").alias("delta")).scalar()
-            back = F.coalesce(delta, F.lit(0.0)) / F.lit(float(n))
-            pr = F.coalesce("pr", F.lit(0.0)) + F.when(F.col("src") == sink, 0.0).otherwise(back)
+            received = current.groupBy(F.col("dst").alias("id")).agg(F.sum("pr").alias("got"))
+            delta = current.where(F.col("dst") == sink).agg(F.sum("pr").alias("delta")).scalar()
+            back = F.coalesce(delta, F.lit(0.0)) / F.lit(float(max(n, 1)))
+            pr = F.coalesce("got", F.lit(0.0)) + F.when(F.col("id") == sink, 0.0).otherwise(back)
             current = rounds.write(
-                number,
-                edges.select("src")
-                .join(received, "src", "left")
-                .select(F.col("src").alias("id"), pr.alias("pr")),
+                number, edges.join(received, "id", "left").select("id", "dst", pr.alias("pr"))
             )
     finally:
         edges.unpersist()
-    return rounds.all()
+    return rounds.all().where(F.col("round") > 0).select("id", "pr", "round")
 
 
 def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
@@ -61,14 +59,10 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
     partitioning over all rounds: a round shuffles the ranks and the summed contributions only.
     """
     spark = G.sparkSession
-    count = partitions(spark)
-    E = weighted(G)
-    slots = E.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(slots, slice_rows)
-    hot = hot.persist()
-    edges = with_slice(E, "src", hot, "dst").repartition(count, "src", "slice").persist()
     out = edge_endpoints(G).groupBy("id").agg(F.count_if(F.col("dir") == "out").alias("n_out"))
-    points = out.repartition(count, "id").persist()
+    points = settled(out, "id")
+    hot = found_once(hot_keys(points.select("id", F.col("n_out").alias("n")), slice_rows))
+    edges = settled(weighted(G), "src", hot, "dst")
     rounds = Rounds(spark, "pagerank", "id bigint, n_out bigint, pr double")
     try:
         n = points.count()
@@ -81,7 +75,7 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
             share = (F.col("pr") / F.col("n_out")).alias("share")
             sent = current.where(F.col("n_out") > 0).select(F.col("id").alias("src"), share)
             received = (
-                edges.join(slice_copies(sent, "src", hot), ["src", "slice"])
+                edges.join(slice_copies(sent, "src", hot), slice_keys("src", hot))
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.sum(F.col("w") * F.col("share")).alias("got"))
             )
@@ -96,7 +90,8 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
     finally:
         edges.unpersist()
         points.unpersist()
-        hot.unpersist()
+        if hot is not None:
+            hot.unpersist()
     return rounds.all().select("id", "pr", "round")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from edgeflow.functions import record
 from edgeflow.operators.edges import weighted
 from edgeflow.plans.hot import SLICE_ROWS, hot_keys, join_on_vertex, slice_copies, with_slice
+from edgeflow.plans.shared import keep
 from edgeflow.schema import exact
 
 STRATEGIES = ("auto", "broadcast", "shuffle_merge", "shuffle_hash", "preagg")
@@ -26,10 +27,11 @@ def _side(df, strategy):
     return df.hint(hints[strategy]) if strategy in hints else df
 
 
-def _checked(G, strategy):
+def _checked(edges, strategy):
+    """The strategy to use: a table too large to broadcast is joined by shuffle."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy: {strategy}")
-    if strategy == "broadcast" and G.count() > BROADCAST_ROWS:
+    if strategy == "broadcast" and edges.count() > BROADCAST_ROWS:
         return "shuffle_merge"
     return strategy
 
@@ -42,9 +44,10 @@ def two_paths(G, strategy="auto", slice_rows=SLICE_ROWS):
     """
     strategy = _checked(G, strategy)
     E = weighted(G)
-    ends = E.groupBy
-    hot_in = hot_keys(ends(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("n")), slice_rows)
-    hot_out = hot_keys(ends(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n")), slice_rows)
+    hot_in, hot_out = (
+        hot_keys(G.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n")), slice_rows)
+        for end in ("dst", "src")
+    )
     first = E.select(F.col("src").alias("f1"), F.col("dst").alias("mid"), F.col("w").alias("w1"))
     second = E.select(F.col("src").alias("mid"), F.col("dst").alias("u2"), F.col("w").alias("w2"))
     first = slice_copies(with_slice(first, "mid", hot_in, "f1", name="i"), "mid", hot_out, name="j")
@@ -53,11 +56,12 @@ def two_paths(G, strategy="auto", slice_rows=SLICE_ROWS):
     return paths.groupBy("f1", "u2").agg(exact(F.sum(exact("w1") * exact("w2"))).alias("n"))
 
 
-def _ordered_edges(E, slice_rows):
-    """Distinct edges with the order of their ends and the loop at their source.
+def _ordered_edges(G, slice_rows):
+    """Distinct edges with the order of their ends and the loop at their source, written once.
 
     (src, dst, w, up, loop): `up` when dst is above src; NULL for a loop itself.
     """
+    E = weighted(G)
     is_loop = F.col("src") == F.col("dst")
     one = F.when(is_loop, 0).otherwise(1)
     loop = F.when(is_loop, F.col("w"))
@@ -76,15 +80,15 @@ def _ordered_edges(E, slice_rows):
     known = join_on_vertex(E, "src", at_src, hot, "dst")
     known = join_on_vertex(known, "dst", at_dst, hot, "src")
     above = F.struct(F.col("n_dst"), F.col("dst")) > F.struct(F.col("n_src"), F.col("src"))
-    return known.select("src", "dst", "w", F.when(~is_loop, above).alias("up"), "loop")
+    ordered = known.select("src", "dst", "w", F.when(~is_loop, above).alias("up"), "loop")
+    return keep(ordered, "ordered-edges")
 
 
-def _wedges(E, strategy, slice_rows):
+def _wedges(ordered, strategy):
     """Paths x→v→y that an edge y→x would close: (x, v, y, w1, w2), one per closed walk at most.
 
     Either v is below x and below y and x ≠ y, or the first step is the loop at v = x.
     """
-    ordered = _ordered_edges(E, slice_rows)
     into = ordered.where(~F.col("up")).select(
         F.col("dst").alias("v"), F.col("src").alias("x"), F.col("w").alias("w1")
     )
@@ -99,8 +103,8 @@ def _wedges(E, strategy, slice_rows):
     return plain.unionByName(looped).select("x", "v", "y", "w1", "w2")
 
 
-def _closing(E):
-    return E.select(F.col("dst").alias("x"), F.col("src").alias("y"), F.col("w").alias("w3"))
+def _closing(ordered):
+    return ordered.select(F.col("dst").alias("x"), F.col("src").alias("y"), F.col("w").alias("w3"))
 
 
 def _rotations():
@@ -110,9 +114,9 @@ def _rotations():
 
 def closed_walks(G, strategy="auto", slice_rows=SLICE_ROWS):
     """Closed walks x→v→y→x up to rotation: (x, v, y, w1, w2, w3, rotations)."""
-    strategy = _checked(G, strategy)
-    E = weighted(G)
-    walks = _wedges(E, strategy, slice_rows).join(_side(_closing(E), strategy), ["x", "y"])
+    ordered = _ordered_edges(G, slice_rows)
+    strategy = _checked(ordered, strategy)
+    walks = _wedges(ordered, strategy).join(_side(_closing(ordered), strategy), ["x", "y"])
     return walks.withColumn("rotations", _rotations())
 
 
@@ -130,28 +134,32 @@ def triangle_rows(G, strategy="auto", slice_rows=SLICE_ROWS):
     return grouped.select("f1", "u2", F.col("u2").alias("f3"), F.col("f1").alias("u3"), "n")
 
 
-def _summed_wedges(E, strategy, slice_rows):
-    """Wedges added up per open pair before they meet the closing edges."""
-    return _wedges(E, strategy, slice_rows).groupBy("x", "y").agg(
+def _closed_sums(G, slice_rows):
+    """Closed walks added up per closing edge: (x, y, s12, s1_s2, w3).
+
+    The paths are added up per open pair before they meet the closing edges.
+    """
+    ordered = _ordered_edges(G, slice_rows)
+    summed = _wedges(ordered, "preagg").groupBy("x", "y").agg(
         F.sum(exact("w1") * exact("w2")).alias("s12"),
         F.sum(exact("w1") + exact("w2")).alias("s1_s2"),
     )
+    return summed.join(_closing(ordered), ["x", "y"])
 
 
 def _total(column, name):
     return exact(F.coalesce(F.sum(column), F.lit(0))).alias(name)
 
 
-def triangle_count(G, strategy="auto", slice_rows=SLICE_ROWS):
+def triangle_count(G, strategy="preagg", slice_rows=SLICE_ROWS):
     """Closed walks of length three, and a third of them rounded down: (closed_walks, triangles).
 
-    "shuffle_merge", "shuffle_hash" and "broadcast" join the edges row by row with that physical
-    join, "auto" leaves the choice to Spark, "preagg" adds the open pairs up before it closes them.
+    "preagg" adds the open pairs up before it closes them; the others meet the closing edges row by
+    row: "shuffle_merge", "shuffle_hash" and "broadcast" with that physical join, "auto" with the one
+    Spark picks. "broadcast" shuffles beyond BROADCAST_ROWS distinct edges.
     """
-    strategy = _checked(G, strategy)
     if strategy == "preagg":
-        E = weighted(G)
-        closed = _summed_wedges(E, strategy, slice_rows).join(_closing(E), ["x", "y"])
+        closed = _closed_sums(G, slice_rows)
         total = _total(exact("s12") * exact("w3") * _rotations(), "closed_walks")
     else:
         closed = closed_walks(G, strategy, slice_rows)
@@ -162,11 +170,9 @@ def triangle_count(G, strategy="auto", slice_rows=SLICE_ROWS):
 
 def closed_two_paths(G, slice_rows=SLICE_ROWS):
     """Two-paths that some edge closes, however many do: (two_paths_closed, triangles)."""
-    E = weighted(G)
-    closed = _summed_wedges(E, "preagg", slice_rows).join(_closing(E), ["x", "y"])
-    other_rotations = F.when(F.col("x") == F.col("y"), F.lit(0).cast("decimal(38,0)")).otherwise(
-        exact("w3") * exact("s1_s2")
-    )
+    closed = _closed_sums(G, slice_rows)
+    stays = F.col("x") == F.col("y")
+    other_rotations = F.when(stays, exact(F.lit(0))).otherwise(exact("w3") * exact("s1_s2"))
     return _with_triangles(closed.agg(_total(exact("s12") + other_rotations, "two_paths_closed")))
 
 

@@ -1,8 +1,11 @@
-from edgeflow.plans.hot import HOT_KEYS, SLICE_ROWS, hot_keys, join_on_vertex, slice_copies, slice_rows_of
+from edgeflow.plans.hot import (
+    HOT_KEYS, SLICE_ROWS, found_once, hot_keys, join_on_vertex, settled, slice_copies, slice_keys,
+    with_slice,
+)
 from edgeflow.plans.inspect import plan_text
 from edgeflow.plans.shared import Rounds, keep, new_folder, partitions
 
 __all__ = [
-    "HOT_KEYS", "SLICE_ROWS", "hot_keys", "join_on_vertex", "slice_copies", "slice_rows_of",
-    "plan_text", "Rounds", "keep", "new_folder", "partitions",
+    "HOT_KEYS", "SLICE_ROWS", "found_once", "hot_keys", "join_on_vertex", "settled",
+    "slice_copies", "slice_keys", "with_slice", "plan_text", "Rounds", "keep", "new_folder", "partitions",
 ]
