@@ -28,6 +28,10 @@ def _text(expression, name):
     return f"CAST(CAST({expression} AS HUGEINT) AS VARCHAR) AS {name}"
 
 
+def _grid(expression, name, bits=36):
+    return f"round(({expression}) * {2**bits}.0::DOUBLE) / {2**bits}.0::DOUBLE AS {name}"
+
+
 COUNTS = "c AS MATERIALIZED (SELECT dst AS id, count(*) AS n FROM g GROUP BY dst)"
 WEIGHTED = "e AS MATERIALIZED (SELECT src, dst, count(*) AS w FROM g GROUP BY src, dst)"
 VERTICES = "v AS MATERIALIZED (SELECT src AS id FROM g UNION SELECT dst FROM g)"
@@ -107,7 +111,7 @@ def _pagerank(name, damping):
             f"(coalesce(c.pr, 0.0) + coalesce((SELECT sum(pr) FROM p{i - 1} WHERE n_out = 0), 0.0) "
             f"/ (SELECT count(*) FROM v)) AS pr FROM o LEFT JOIN c{i} c ON c.id = o.id)",
         ]
-    return _over(name, *rounds, f"SELECT id, round(pr, 10) AS pr FROM p{PR_ROUNDS}")
+    return _over(name, *rounds, f"SELECT id, {_grid('pr', 'pr')} FROM p{PR_ROUNDS}")
 
 
 SEEDS = (
@@ -212,7 +216,7 @@ def oracle_sql():
             + ", ".join(_start(s) for s in SOURCES) + " FROM e GROUP BY src",
         ),
         "chain_graph_edges": "WITH " + ", ".join(CHAIN) + " SELECT src, dst FROM ch",
-        "chain_graph_ranks": "WITH " + ", ".join(CHAIN) + " SELECT id, round(pr, 12) AS pr FROM p0",
+        "chain_graph_ranks": "WITH " + ", ".join(CHAIN) + f" SELECT id, {_grid('pr', 'pr')} FROM p0",
         "sink_tuple_text": _over("purchases", COUNTS, "SELECT '(' || id || ',' || n || ')' AS line FROM c"),
         "sink_delimited_text": _over("purchases", COUNTS, f"l AS ({_separated()})", _bag("line, tag", "l")),
         "sink_named_outputs": _kmeans(
@@ -275,19 +279,19 @@ def oracle_sql():
             f"SELECT (SELECT CAST(count(*) AS VARCHAR) FROM g a JOIN g b ON a.dst = b.src) AS two_paths, "
             f"(SELECT count(*) FROM v) AS vertices, {_text(f'sum({WALKS})', 'closed')} FROM closed",
         ),
-        "rank_contributions": _chain("SELECT id, round(pr, 12) AS pr FROM c1"),
+        "rank_contributions": _chain(f"SELECT id, {_grid('pr', 'pr')} FROM c1"),
         "left_outer_default_zero": _chain(
-            "SELECT ch.src AS id, round(coalesce(c.pr, 0.0), 12) AS pr FROM ch LEFT JOIN c1 c ON c.id = ch.src"
+            f"SELECT ch.src AS id, {_grid('coalesce(c.pr, 0.0)', 'pr')} FROM ch LEFT JOIN c1 c ON c.id = ch.src"
         ),
-        "pagerank_chain": _chain(f"SELECT id, round(pr, 12) AS pr FROM p{PR_ROUNDS}"),
+        "pagerank_chain": _chain(f"SELECT id, {_grid('pr', 'pr')} FROM p{PR_ROUNDS}"),
         "pagerank_chain_trace": _chain(
             " UNION ALL ".join(
-                f"SELECT {i} AS round, round(sum(pr), 10) AS total FROM p{i}"
+                f"SELECT {i} AS round, {_grid('sum(pr)', 'total', 30)} FROM p{i}"
                 for i in range(1, PR_ROUNDS + 1)
             )
         ),
         "pagerank_chain_top100": _chain(
-            f"SELECT id, round(pr, 12) AS pr FROM p{PR_ROUNDS} ORDER BY round(pr, 12) DESC, id LIMIT 100"
+            f"SELECT id, {_grid('pr', 'pr')} FROM p{PR_ROUNDS} ORDER BY 2 DESC, id LIMIT 100"
         ),
         "pagerank_edges": _pagerank("purchases", 1.0),
         "pagerank_edges_damped": _pagerank("supplies", DAMPING),

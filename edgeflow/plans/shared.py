@@ -4,10 +4,12 @@ Loops cut their lineage here: the state of each round is a Parquet table, so a l
 the running round only, the plan of a round never grows, and Catalyst knows the size of the state.
 """
 
+import itertools
 import tempfile
 import uuid
 
-_own_root = {}
+_session_folders = {}
+_numbers = itertools.count()
 
 
 def _root(spark):
@@ -21,20 +23,25 @@ def _root(spark):
         return context.getCheckpointDir()
     if not context._jsc.sc().isLocal():
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _own_root.setdefault(context.applicationId, tempfile.mkdtemp(prefix="edgeflow-"))
+    return tempfile.mkdtemp(prefix="edgeflow-")
 
 
-def _filesystem(spark, path):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+def _session_folder(spark):
+    """The folder of this session below the shared folder; it goes when the session's JVM ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _session_folders:
+        path = f"{_root(spark).rstrip('/')}/edgeflow-{application}-{uuid.uuid4().hex}"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        filesystem.mkdirs(target)
+        filesystem.deleteOnExit(target)
+        _session_folders[application] = path
+    return _session_folders[application]
 
 
 def new_folder(spark, name):
-    """A new folder name under the shared folder; it goes when the session's JVM ends."""
-    path = f"{_root(spark).rstrip('/')}/edgeflow-{name}-{uuid.uuid4().hex}"
-    filesystem, target = _filesystem(spark, path)
-    filesystem.deleteOnExit(target)
-    return path
+    """A name for a new folder that every executor can reach."""
+    return f"{_session_folder(spark)}/{name}-{next(_numbers)}"
 
 
 def keep(df, name):

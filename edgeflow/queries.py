@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import edgeflow as ef
 from edgeflow.functions import weighted_list_text
-from edgeflow.plans import new_folder
+from edgeflow.plans import keep, new_folder
+from edgeflow.schema import exact
 from edgeflow.tables import chain_ids, graph, nodes
 
 SOURCES = [2, 3]
@@ -41,8 +42,14 @@ def text(df, *columns):
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
-def rounded(df, column, digits=10):
-    return df.withColumn(column, F.round(column, digits))
+def on_grid(df, column, bits=36):
+    """Doubles as multiples of 2^-bits.
+
+    Sums differ in their last digits with the order of adding. Ranks are often decimal fractions that
+    end in a 5, which decimal rounding would send either way; they do not lie between two multiples.
+    """
+    grid = float(2**bits)
+    return df.withColumn(column, F.round(F.col(column) * grid) / grid)
 
 
 # Sources: the table goes out as text through a sink and comes back through the source.
@@ -106,7 +113,7 @@ def chain_graph_edges(spark, sf_dir):
 
 @query
 def chain_graph_ranks(spark, sf_dir):
-    return rounded(ef.chain_ranks(chain_ids(spark, sf_dir)), "pr", 12)
+    return on_grid(ef.chain_ranks(chain_ids(spark, sf_dir)), "pr")
 
 
 # Sinks: the result is written and its lines are read back.
@@ -267,12 +274,12 @@ def successor_lookup(spark, sf_dir):
 def two_path_metrics(spark, sf_dir):
     """Counters that fill while the follower table and the closed walks are written."""
     G = supplies(spark, sf_dir)
-    products = F.sum(F.col("n_in").cast("decimal(38,0)") * F.col("n_out").cast("decimal(38,0)"))
-    degrees, paths = ef.counted(ef.in_out_degrees(G), two_paths=products, vertices=F.count(F.lit(1)))
-    weight = F.lit(1).cast("decimal(38,0)")
-    for w in ("w1", "w2", "w3", "rotations"):
-        weight = weight * F.col(w).cast("decimal(38,0)")
-    walks, closed = ef.counted(ef.closed_walks(G), closed=F.sum(weight))
+    products = F.sum(exact("n_in") * exact("n_out"))
+    degrees, paths = ef.counted(
+        ef.in_out_degrees(G), two_paths=F.coalesce(products, F.lit(0)), vertices=F.count(F.lit(1))
+    )
+    copies = exact("w1") * exact("w2") * exact("w3") * F.col("rotations")
+    walks, closed = ef.counted(ef.closed_walks(G), closed=F.coalesce(F.sum(copies), F.lit(0)))
     path = new_folder(spark, "metrics")
     degrees.write.parquet(f"{path}/degrees")
     walks.write.parquet(f"{path}/walks")
@@ -293,7 +300,7 @@ def _chain(spark, sf_dir):
 def rank_contributions(spark, sf_dir):
     ids = chain_ids(spark, sf_dir)
     received = ef.rank_contributions(ef.chain_edges(ids), ef.chain_ranks(ids))
-    return rounded(received, "pr", 12)
+    return on_grid(received, "pr")
 
 
 @query
@@ -301,35 +308,35 @@ def left_outer_default_zero(spark, sf_dir):
     ids = chain_ids(spark, sf_dir)
     edges = ef.chain_edges(ids)
     received = ef.rank_contributions(edges, ef.chain_ranks(ids))
-    return rounded(ef.with_default_zero(ef.distinct_sources(edges), received), "pr", 12)
+    return on_grid(ef.with_default_zero(ef.distinct_sources(edges), received), "pr")
 
 
 @query
 def pagerank_chain(spark, sf_dir):
-    return rounded(ef.last_round(_chain(spark, sf_dir), PR_ROUNDS), "pr", 12)
+    return on_grid(ef.last_round(_chain(spark, sf_dir), PR_ROUNDS), "pr")
 
 
 @query
 def pagerank_chain_trace(spark, sf_dir):
-    return rounded(ef.rank_trace(_chain(spark, sf_dir)), "total")
+    return on_grid(ef.rank_trace(_chain(spark, sf_dir)), "total", 30)
 
 
 @query
 def pagerank_chain_top100(spark, sf_dir):
-    ranks = rounded(ef.last_round(_chain(spark, sf_dir), PR_ROUNDS), "pr", 12)
+    ranks = on_grid(ef.last_round(_chain(spark, sf_dir), PR_ROUNDS), "pr")
     return ef.top_k(ranks, "pr", 100)
 
 
 @query
 def pagerank_edges(spark, sf_dir):
     ranks = ef.pagerank(purchases(spark, sf_dir), iters=PR_ROUNDS)
-    return rounded(ef.last_round(ranks, PR_ROUNDS), "pr")
+    return on_grid(ef.last_round(ranks, PR_ROUNDS), "pr")
 
 
 @query
 def pagerank_edges_damped(spark, sf_dir):
     ranks = ef.pagerank(supplies(spark, sf_dir), damping=DAMPING, iters=PR_ROUNDS)
-    return rounded(ef.last_round(ranks, PR_ROUNDS), "pr")
+    return on_grid(ef.last_round(ranks, PR_ROUNDS), "pr")
 
 
 # Hop distances.
@@ -369,7 +376,7 @@ def farthest_vertex(spark, sf_dir):
 
 
 def _counts_and_seeds(spark, sf_dir):
-    counts = ef.follower_count(purchases(spark, sf_dir))
+    counts = keep(ef.follower_count(purchases(spark, sf_dir)), "counts")
     return counts, [row.centroid for row in ef.kmeans_seeds(counts, K).collect()]  # K rows
 
 

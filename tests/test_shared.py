@@ -7,7 +7,8 @@ from edgeflow.plans import shared
 
 def test_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
-    assert shared.new_folder(spark, "x").startswith(f"{root}/edgeflow-x-")
+    first, second = shared.new_folder(spark, "x"), shared.new_folder(spark, "x")
+    assert first != second and first.startswith(f"{root}/edgeflow-")
 
 
 def test_a_cluster_without_shared_folder_is_refused():
