@@ -16,3 +16,14 @@ from edgeflow.operators.triangles import (
     closed_two_paths, closed_walks, counted, successor_lookup, triangle_count, triangle_rows,
     two_paths,
 )
+
+__all__ = [
+    "adjacency_lists", "bfs_distances", "bfs_distances_wide", "chain_pagerank", "closed_two_paths",
+    "closed_walks", "counted", "degree_histogram", "diameter_estimate", "distinct_sources",
+    "eccentricity", "edge_endpoints", "expand_neighbours", "farthest_vertex",
+    "filter_max_id", "follower_count", "follower_count_all", "in_out_degrees",
+    "in_out_neighbour_lists", "kmeans_1d", "kmeans_assign", "kmeans_seeds", "last_round",
+    "pagerank", "pass_stats", "rank_contributions", "rank_trace", "reverse_edges",
+    "send_state", "successor_lookup", "top_k", "triangle_count", "triangle_rows",
+    "two_path_cardinality", "two_paths", "vertices", "weighted", "with_default_zero",
+]

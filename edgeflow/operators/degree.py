@@ -19,11 +19,13 @@ def follower_count(G, strategy="partial", slice_rows=SLICE_ROWS):
     if strategy != "grouped":
         raise ValueError(f"unknown strategy: {strategy}")
     hot = F.broadcast(hot_keys(follower_count(G), slice_rows))
-    turn = F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col("slices"), F.lit(1)))
-    ones = (
-        G.select(F.col("dst").alias("id"))
-        .join(hot, "id", "left")
-        .select("id", turn.alias("slice"), F.lit(1).cast("bigint").alias("one"))
+    # sorted first, so that a task that runs again gives every row its old slice
+    numbered = G.sortWithinPartitions("dst", "src").select(
+        F.col("dst").alias("id"), F.monotonically_increasing_id().alias("row")
+    )
+    turn = F.pmod(F.col("row"), F.coalesce(F.col("slices"), F.lit(1)))
+    ones = numbered.join(hot, "id", "left").select(
+        "id", turn.alias("slice"), F.lit(1).cast("bigint").alias("one")
     )
     grouped = ones.groupBy("id", "slice").agg(F.collect_list("one").alias("ones"))
     size = F.aggregate("ones", F.lit(0).cast("bigint"), lambda total, one: total + one)

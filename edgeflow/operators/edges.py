@@ -45,22 +45,26 @@ def distinct_sources(G):
 
 
 def send_state(G, state, slice_rows=SLICE_ROWS):
-    """Each edge with the state of its source vertex; `state` has one row per `id`."""
+    """Each edge with the state of its source vertex; `state` has one row per `id`.
+
+    Parallel edges come as one row with their number `w`.
+    """
     sizes = G.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     return join_on_vertex(
-        G, "src", state.withColumnRenamed("id", "src"), hot_keys(sizes, slice_rows), "dst"
+        weighted(G), "src", state.withColumnRenamed("id", "src"), hot_keys(sizes, slice_rows), "dst"
     )
 
 
 def expand_neighbours(G, state, distances, slice_rows=SLICE_ROWS):
-    """The state itself plus one message per edge, each distance one hop longer.
+    """The state itself plus one message per edge, each distance one hop longer: (id, …, n).
 
-    An unknown distance is NULL and stays NULL.
+    Equal messages from parallel edges come as one row with their number `n`. An unknown distance is
+    NULL and stays NULL.
     """
     hop = [(F.col(c) + 1).alias(c) for c in distances]
     sent = send_state(G, state.select("id", *distances), slice_rows)
-    messages = sent.select(F.col("dst").alias("id"), *hop)
-    return state.select("id", *distances).unionByName(messages)
+    messages = sent.select(F.col("dst").alias("id"), *hop, F.col("w").alias("n"))
+    return state.select("id", *distances, F.lit(1).cast("bigint").alias("n")).unionByName(messages)
 
 
 def _list_parts(rows, max_list):

@@ -10,7 +10,7 @@ from edgeflow.plans.shared import Rounds
 def rank_contributions(G, ranks, slice_rows=SLICE_ROWS):
     """What each vertex receives when every edge carries its source's rank: (id, pr)."""
     sent = send_state(G, ranks, slice_rows)
-    return sent.groupBy(F.col("dst").alias("id")).agg(F.sum("pr").alias("pr"))
+    return sent.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("w") * F.col("pr")).alias("pr"))
 
 
 def with_default_zero(ids, received):

@@ -1,9 +1,9 @@
 """Paths of length two and directed 3-cycles, counted as a bag (parallel edges and loops count).
 
 A closed walk a→b→c→a is looked for at its lowest vertex in the order (degree, id) only: the pairs
-of neighbours tried at a vertex all have at least its degree, so a hub never pairs its followers
-with the vertices it follows, and the pairs tried stay below E^1.5 altogether. The other rotations
-of the walk follow by symmetry, so nothing is left out.
+of neighbours tried at a vertex all have at least its degree, so there are at most sqrt(2E) of them
+and a hub never pairs its followers with the vertices it follows; all pairs tried are of the order
+of E^1.5 at worst. The other rotations of the walk follow by symmetry, so nothing is left out.
 """
 
 from pyspark.sql import Observation
@@ -193,9 +193,13 @@ def successor_lookup(G, slice_rows=SLICE_ROWS):
     after = successor.select(F.col("id").alias("next"), F.col("next").alias("next2"))
     chain = join_on_vertex(successor, "next", after, hot, "id", how="left")
     ends = chain.select(F.col("id").alias("dst"), "next", "next2")
-    looked_up = join_on_vertex(G, "dst", ends, hot, "src", how="left")
-    dead_end = F.count_if(F.col("next").isNull())
-    closed = F.count_if(F.col("next2") == F.col("src"))
+    looked_up = join_on_vertex(weighted(G), "dst", ends, hot, "src", how="left")
+
+    def edges_where(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("w"))), F.lit(0).cast("bigint"))
+
+    dead_end = edges_where(F.col("next").isNull())
+    closed = edges_where(F.col("next2") == F.col("src"))
     return looked_up.agg(
         (dead_end + closed).alias("kept"),
         dead_end.alias("dead_end"),

@@ -78,7 +78,11 @@ def slice_copies(rows, key, hot, name="slice"):
 
 
 def join_on_vertex(rows, key, vertices, hot, by, how="inner"):
-    """rows ⋈ vertices on `key` (one vertex row per key), hot keys spread by the column `by`."""
+    """rows ⋈ vertices on `key` (one vertex row per key), hot keys spread by the column `by`.
+
+    The spread is even when `rows` are distinct in (key, by); a row keeps its slice when its task
+    runs again.
+    """
     return (
         with_slice(rows, key, hot, by)
         .join(slice_copies(vertices, key, hot), slice_keys(key, hot), how)

@@ -186,7 +186,8 @@ def expand_neighbours(spark, sf_dir):
     G = purchases(spark, sf_dir)
     start = [F.when(F.col("id") == s, F.lit(0)).alias(f"d_{s}") for s in SOURCES]
     state = ef.vertices(G).select("id", *start)
-    return bag(ef.expand_neighbours(G, state, [f"d_{s}" for s in SOURCES]))
+    columns = [f"d_{s}" for s in SOURCES]
+    return ef.expand_neighbours(G, state, columns).groupBy("id", *columns).agg(F.sum("n").alias("n"))
 
 
 @query

@@ -29,7 +29,7 @@ def write_summary(df, path, **labels):
         F.concat(F.lit(f"{label} :"), F.col(column).cast("string"))
         for column, label in labels.items()
     ]
-    df.select(F.explode(F.array(*lines)).alias("value")).coalesce(1).write.text(path)
+    df.select(F.explode(F.array(*lines)).alias("value")).repartition(1).write.text(path)
 
 
 def adjacency_lines(states):

@@ -87,8 +87,8 @@ def test_grouped_count(edges_from, pairs, slice_rows):
 
 def test_send_state(spark, edges_from, pairs, slice_rows):
     state = spark.createDataFrame([(v, v * 10) for v in range(200)], "id bigint, s bigint")
-    found = ef.send_state(edges_from(pairs), state, slice_rows).select("src", "dst", "s").collect()
-    assert Counter(tuple(r) for r in found) == Counter((a, b, a * 10) for a, b in pairs)
+    found = ef.send_state(edges_from(pairs), state, slice_rows).collect()
+    assert {(r.src, r.dst, r.s): r.w for r in found} == Counter((a, b, a * 10) for a, b in pairs)
 
 
 @pytest.mark.parametrize("seeds", [[1, 4], [0, 3, 9, 20], [5, 5, 1000]])

@@ -93,11 +93,13 @@ def test_empty_graph(micro):
 
 
 def test_expand_neighbours(spark, edges_from):
-    G = edges_from([(1, 2), (1, 3), (2, 3)])
+    G = edges_from([(1, 2), (1, 2), (1, 3), (2, 3)])
     state = spark.createDataFrame([(1, 0, None), (2, None, 0), (3, None, None)], "id bigint, a int, b int")
     key = lambda r: tuple(-1 if v is None else v for v in r)
     found = sorted((tuple(r) for r in ef.expand_neighbours(G, state, ["a", "b"]).collect()), key=key)
-    expected = [(1, 0, None), (2, None, 0), (2, 1, None), (3, None, None), (3, None, 1), (3, 1, None)]
+    expected = [
+        (1, 0, None, 1), (2, None, 0, 1), (2, 1, None, 2), (3, None, None, 1), (3, None, 1, 1), (3, 1, None, 1),
+    ]
     assert found == sorted(expected, key=key)
 
 
