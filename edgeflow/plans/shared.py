@@ -26,19 +26,31 @@ def _root(spark):
     return tempfile.mkdtemp(prefix="edgeflow-")
 
 
+def _folder(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def _session_folder(spark):
     """The folder of this session below the shared folder; it goes when the session's JVM ends."""
     application = spark.sparkContext.applicationId
     if application not in _session_folders:
         path = f"{_root(spark).rstrip('/')}/edgeflow-{application}-{uuid.uuid4().hex}"
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        filesystem, target = _folder(spark, path)
         filesystem.mkdirs(target)
         filesystem.deleteOnExit(target)
         _session_folders[application] = path
     return _session_folders[application]
 
 
+def drop_written(spark):
+    """Delete all tables this session wrote to the shared folder; results that read them go too."""
+    path = _session_folders.pop(spark.sparkContext.applicationId, None)
+    if path:
+        filesystem, target = _folder(spark, path)
+        filesystem.delete(target, True)
+
+
 def new_folder(spark, name):
     """A name for a new folder that every executor can reach."""
     return f"{_session_folder(spark)}/{name}-{next(_numbers)}"

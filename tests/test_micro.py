@@ -3,6 +3,7 @@
 import pytest
 
 import edgeflow as ef
+from edgeflow.operators import triangles
 
 
 def rows(df):
@@ -31,6 +32,20 @@ def test_triangles(micro, strategy, slice_rows):
     assert rows(ef.triangle_count(micro, strategy, slice_rows)) == [(10, 3)]
 
 
+def test_totals_beyond_64_bits(spark):
+    from pyspark.sql import functions as F
+
+    weights = [(1, 2, 10**10), (2, 3, 10**10), (3, 1, 10**10 + 1), (4, 4, 10**10)]
+    copies = spark.createDataFrame(weights, "src bigint, dst bigint, w bigint")
+    walks = 3 * 10**20 * (10**10 + 1) + 10**30
+    closed = copies.alias("a").join(copies.alias("b"), F.expr("a.dst = b.src")).join(
+        copies.alias("c"), F.expr("b.dst = c.src AND c.dst = a.src")
+    )
+    n = triangles.exact("a.w") * triangles.exact("b.w") * triangles.exact("c.w")
+    total = triangles._with_triangles(closed.agg(triangles._total(n, "closed_walks"))).first()
+    assert tuple(total) == (walks, walks // 3)
+
+
 def test_unknown_strategy(micro):
     with pytest.raises(ValueError):
         ef.triangle_count(micro, "nested")

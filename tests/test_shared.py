@@ -34,3 +34,15 @@ def test_rounds(spark):
 def test_keep_writes_once(spark):
     kept = shared.keep(spark.range(3), "kept")
     assert kept.count() == 3 and "Scan parquet" in kept._jdf.queryExecution().toString()
+
+
+def test_drop_written(spark, monkeypatch):
+    import os
+
+    monkeypatch.setattr(shared, "_session_folders", {})
+    kept = shared.keep(spark.range(3), "kept")
+    folder = shared._session_folder(spark)
+    assert os.path.isdir(folder) and kept.count() == 3
+    shared.drop_written(spark)
+    assert not os.path.exists(folder)
+    assert shared._session_folder(spark) != folder
