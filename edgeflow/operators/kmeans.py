@@ -63,13 +63,15 @@ class KMeansResult:
 
 
 def kmeans_1d(values, seeds, max_passes=MAX_PASSES):
-    """K-means over the column `n` of `values` from the given seeds (a list of integers).
+    """K-means over the column `n` of `values` from the given seeds, a list or a table (centroid).
 
     Runs at least two passes and at most `max_passes`, and stops after a pass that changes no
     centroid. Clusters that reach the same centroid are one cluster in the next pass.
     """
     spark = values.sparkSession
     histogram = keep(degree_histogram(values), "kmeans-histogram")
+    if isinstance(seeds, DataFrame):
+        seeds = [row.centroid for row in seeds.select("centroid").distinct().collect()]
     current, passes = sorted(set(seeds)), []
     for number in range(1, max_passes + 1):
         stats = pass_stats(histogram, current).collect()  # at most one row per centroid

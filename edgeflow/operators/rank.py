@@ -23,12 +23,13 @@ def top_k(df, by, k=100, tie="id"):
     return df.orderBy(F.desc(by), F.asc(tie)).limit(k)
 
 
-def chain_pagerank(edges, ranks, sink=0, iters=10):
+def chain_pagerank(edges, ranks, n=None, sink=0, iters=10):
     """Undamped PageRank on edges with one successor per vertex: the ranks after each round.
 
     `sink` takes in what flows to it and each round hands it back in equal parts to the vertices
     that have an edge; it holds no rank itself afterwards. Rank sent to a vertex without an edge is
-    lost. Returns (round, id, pr), rounds 1 … iters.
+    lost. `n` is the number of parts, by default the number of edges. Returns (round, id, pr),
+    rounds 1 … iters.
 
     The state keeps each vertex beside its successor, so a round is one aggregate over the state and
     one join with the vertices, which stay partitioned by id.
@@ -36,7 +37,7 @@ def chain_pagerank(edges, ranks, sink=0, iters=10):
     edges = settled(edges.select(F.col("src").alias("id"), "dst"), "id")
     rounds = Rounds(edges.sparkSession, "chain-pagerank", "id bigint, dst bigint, pr double")
     try:
-        n = edges.count()
+        n = edges.count() if n is None else n
         current = rounds.write(0, edges.join(ranks.select("id", "pr"), "id", "left"))
         for number in range(1, iters + 1):
             received = current.groupBy(F.col("dst").alias("id")).agg(F.sum("pr").alias("got"))

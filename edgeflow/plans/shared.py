@@ -80,8 +80,9 @@ class Rounds:
         df.write.parquet(f"{self.path}/round={number}")
         return self.read(number)
 
-    def read(self, number):
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/round={number}")
+    def read(self, *numbers):
+        paths = [f"{self.path}/round={number}" for number in numbers]
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def all(self):
         return self.spark.read.schema(f"{self.schema}, round int").parquet(self.path)

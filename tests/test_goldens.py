@@ -92,8 +92,9 @@ def test_eccentricity(spark, scale, name, expected):
 )
 def test_kmeans(spark, scale, seeds, errors, centroids):
     counts = ef.follower_count(window_graph(spark, scale, "part"))
-    assert sorted(r.centroid for r in ef.kmeans_seeds(counts, 4).collect()) == seeds
-    result = ef.kmeans_1d(counts, seeds)
+    table = ef.kmeans_seeds(counts, 4)
+    assert sorted(r.centroid for r in table.collect()) == seeds
+    result = ef.kmeans_1d(counts, table)
     assert [r.sse for r in result.trace.orderBy("pass").collect()] == errors
     assert sorted(r.centroid for r in result.centroids.collect()) == centroids
 

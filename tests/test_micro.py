@@ -3,7 +3,7 @@
 import pytest
 
 import edgeflow as ef
-from edgeflow.operators import triangles
+from edgeflow.operators import paths, triangles
 
 
 def rows(df):
@@ -95,6 +95,13 @@ def test_hops_corners(micro):
     assert wide == {1: None, 2: None, 3: None, 4: None, 5: None, 6: 0, 9: None}
 
 
+def test_long_search(spark, monkeypatch):
+    monkeypatch.setattr(paths, "MERGE_ROUNDS", 3)
+    ring = spark.range(12).selectExpr("id AS src", "(id + 1) % 12 AS dst")
+    found = ef.bfs_distances(ring, [0, 5])
+    assert rows(found) == sorted((s, v, (v - s) % 12) for s in (0, 5) for v in range(12))
+
+
 def test_empty_graph(micro):
     empty = micro.limit(0)
     assert rows(ef.follower_count(empty)) == []
