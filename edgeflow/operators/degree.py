@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from edgeflow.operators.edges import edge_endpoints
+from edgeflow.functions import record
 from edgeflow.plans.hot import SLICE_ROWS, hot_keys
 from edgeflow.schema import exact
 
@@ -46,10 +46,12 @@ def degree_histogram(counts):
 
 def in_out_degrees(G):
     """(id, n_in, n_out), parallel edges counted."""
-    return edge_endpoints(G).groupBy("id").agg(
-        F.count_if(F.col("dir") == "in").alias("n_in"),
-        F.count_if(F.col("dir") == "out").alias("n_out"),
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    ends = F.array(
+        record(id=F.col("src"), n_in=zero, n_out=one), record(id=F.col("dst"), n_in=one, n_out=zero)
     )
+    sums = [F.sum(n).alias(n) for n in ("n_in", "n_out")]
+    return G.select(F.inline(ends)).groupBy("id").agg(*sums)
 
 
 def two_path_cardinality(G):

@@ -61,23 +61,23 @@ def _ordered_edges(G, slice_rows):
 
     (src, dst, w, up, loop): `up` when dst is above src; NULL for a loop itself.
     """
-    E = weighted(G)
     is_loop = F.col("src") == F.col("dst")
     one = F.when(is_loop, 0).otherwise(1)
-    loop = F.when(is_loop, F.col("w"))
-    ends = E.select(
+    ends = G.select(
         F.inline(
             F.array(
-                record(id=F.col("src"), one=one, loop=loop),
-                record(id=F.col("dst"), one=one, loop=loop),
+                record(id=F.col("src"), one=one, loop=F.when(is_loop, 1)),
+                record(id=F.col("dst"), one=one, loop=F.lit(None).cast("int")),
             )
         )
     )
-    facts = ends.groupBy("id").agg(F.sum("one").alias("n"), F.max("loop").alias("loop"))
+    facts = keep(
+        ends.groupBy("id").agg(F.sum("one").alias("n"), F.sum("loop").alias("loop")), "vertex-facts"
+    )
     hot = hot_keys(facts.select("id", "n"), slice_rows)
     at_src = facts.select(F.col("id").alias("src"), F.col("n").alias("n_src"), "loop")
     at_dst = facts.select(F.col("id").alias("dst"), F.col("n").alias("n_dst"))
-    known = join_on_vertex(E, "src", at_src, hot, "dst")
+    known = join_on_vertex(weighted(G), "src", at_src, hot, "dst")
     known = join_on_vertex(known, "dst", at_dst, hot, "src")
     above = F.struct(F.col("n_dst"), F.col("dst")) > F.struct(F.col("n_src"), F.col("src"))
     ordered = known.select("src", "dst", "w", F.when(~is_loop, above).alias("up"), "loop")
