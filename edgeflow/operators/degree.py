@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from edgeflow.functions import record
 from edgeflow.plans.hot import SLICE_ROWS, hot_keys
 from edgeflow.schema import exact
 
@@ -44,17 +43,24 @@ def degree_histogram(counts):
     return counts.groupBy("n").agg(F.count(F.lit(1)).alias("users"))
 
 
+def _end_counts(G):
+    """(id, n_in) and (id, n_out): each reads one column of the edges and leaves by id."""
+    return (
+        G.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias(name))
+        for end, name in (("dst", "n_in"), ("src", "n_out"))
+    )
+
+
 def in_out_degrees(G):
     """(id, n_in, n_out), parallel edges counted."""
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    ends = F.array(
-        record(id=F.col("src"), n_in=zero, n_out=one), record(id=F.col("dst"), n_in=one, n_out=zero)
-    )
-    sums = [F.sum(n).alias(n) for n in ("n_in", "n_out")]
-    return G.select(F.inline(ends)).groupBy("id").agg(*sums)
+    n_in, n_out = _end_counts(G)
+    zero = F.lit(0).cast("bigint")
+    counts = [F.coalesce(n, zero).alias(n) for n in ("n_in", "n_out")]
+    return n_in.join(n_out, "id", "full").select("id", *counts)
 
 
 def two_path_cardinality(G):
     """Number of paths of length two, from the degrees alone: one row (two_paths)."""
+    n_in, n_out = _end_counts(G)
     paths = F.sum(exact("n_in") * exact("n_out"))
-    return in_out_degrees(G).agg(exact(F.coalesce(paths, F.lit(0))).alias("two_paths"))
+    return n_in.join(n_out, "id").agg(exact(F.coalesce(paths, F.lit(0))).alias("two_paths"))
