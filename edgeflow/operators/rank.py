@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from edgeflow.operators.degree import in_out_degrees
-from edgeflow.operators.edges import send_state, weighted
+from edgeflow.operators.degree import follower_count_all
+from edgeflow.operators.edges import reverse_edges, send_state, weighted
 from edgeflow.plans.hot import SLICE_ROWS, found_once, hot_keys, settled, slice_copies, slice_keys
 from edgeflow.plans.shared import Rounds
 
@@ -61,7 +61,8 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
     partitioning over all rounds: a round shuffles the ranks and the summed contributions only.
     """
     spark = G.sparkSession
-    points = settled(in_out_degrees(G).select("id", "n_out"), "id")
+    out = follower_count_all(reverse_edges(G), G.select(F.col("dst").alias("id")))
+    points = settled(out.withColumnRenamed("n", "n_out"), "id")
     hot = found_once(hot_keys(points.select("id", F.col("n_out").alias("n")), slice_rows))
     edges = settled(weighted(G), "src", hot, "dst")
     rounds = Rounds(spark, "pagerank", "id bigint, n_out bigint, pr double")
