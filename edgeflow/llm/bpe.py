@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
-from edgeflow.llm.common import int_lists, slices, text_bytes
+from edgeflow.llm.common import int_lists, mapped, slices, text_bytes
 from edgeflow.llm.vocabulary import byte_letters, read_vocabulary
 
 #: Words and fragments a worker remembers; the table starts anew beyond it.
@@ -118,8 +118,8 @@ def encode(docs, vocabulary, id="doc_id", text="text"):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), int_lists(flat, counts)], names=["doc_id", "ids"])
 
     kind = docs.schema[id].dataType.simpleString()
-    return docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>"
+    return mapped(
+        docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")), run, f"doc_id {kind}, ids array<int>"
     )
 
 
@@ -143,7 +143,7 @@ def decode(coded, vocabulary):
                 )
 
     kind = coded.schema["doc_id"].dataType.simpleString()
-    return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+    return mapped(coded.select("doc_id", "ids"), run, f"doc_id {kind}, ids array<int>, text string")
 
 
 def digests(decoded):

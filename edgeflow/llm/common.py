@@ -1,10 +1,19 @@
 """Helpers that several operators of this subpackage share."""
 
+import io
 import itertools
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import edgeflow
+from edgeflow.plans import new_folder
+
+#: Applications whose workers have this package.
+_shipped = set()
+
 #: Bytes of text that a Python task works on at a time.
 SLICE_BYTES = 4_000_000
 
@@ -13,6 +22,30 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _ship(spark):
+    """Give the Python workers this package, by way of the folder all executors share."""
+    context, root = spark.sparkContext, Path(edgeflow.__file__).parent
+    if context.applicationId in _shipped:
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = f"{new_folder(spark, 'code')}/{root.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+def mapped(df, function, schema):
+    """`df.mapInArrow` with a function of this package."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def unused(df, name):
     """`name`, lengthened until `df` has no such column (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

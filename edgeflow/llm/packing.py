@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from edgeflow.llm.common import slices, text_bytes
+from edgeflow.llm.common import mapped, slices, text_bytes
 from edgeflow.llm.vocabulary import byte_encoder
 from edgeflow.plans import keep
 
@@ -50,8 +50,8 @@ def tokens(docs, vocabulary, id="doc_id", text="text", end_id=END_ID):
             )
 
     kind = docs.schema[id].dataType.simpleString()
-    return docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")).mapInArrow(
-        encode, f"doc_id {kind}, part int, start bigint, ids binary"
+    return mapped(
+        docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")), encode, f"doc_id {kind}, part int, start bigint, ids binary"
     )
 
 
@@ -94,8 +94,8 @@ def cut(written, window=WINDOW):
             )
 
     kind = written.schema["doc_id"].dataType.simpleString()
-    return written.select("doc_id", "part", "start", "ids").mapInArrow(
-        pieces,
+    return mapped(
+        written.select("doc_id", "part", "start", "ids"), pieces,
         f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint",
     )
 

@@ -1,9 +1,15 @@
 """One query per operator over the given tables: name → function of (spark, sf_dir)."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, packing
-from edgeflow.llm.common import table
+from edgeflow.llm import bpe, languages, packing, quality, simhash
+from edgeflow.llm.common import fold, table
+
+#: Rows of this fold teach nothing; see `common.fold`.
+HELD_OUT = 2
+#: Scores from which a document is of good quality.
+GOOD = 0.7
 
 QUERIES = {}
 
@@ -13,6 +19,31 @@ def query(function):
     return function
 
 
+@query
+def op1_simhash(spark, sf_dir):
+    found = simhash.components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_quality(spark, sf_dir):
+    learnable = fold(F.col("doc_id")) != HELD_OUT
+    scored = quality.classify(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), learnable
+    )
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = languages.identify(docs, fold(F.col("doc_id")) != HELD_OUT)
+    return found.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_bpe(spark, sf_dir):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
