@@ -1,3 +1,41 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLE = {}
+
+ORACLE["op9_rules"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           [l FOR l IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
+    FROM documents
+), windows AS (
+    SELECT r, i, array_to_string(words[i:i + 4], ' ') AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5)
+), repeats AS (
+    SELECT r, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT r, unnest(range(i, i + 5)) AS place FROM (
+        SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n >= 2)
+    GROUP BY r
+), lines AS (
+    SELECT r, source, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS line, body
+    FROM (SELECT r, source, unnest(lines) AS line, array_to_string([
+        trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) FOR l IN lines], chr(10)) AS body FROM docs)
+), frequent AS (
+    SELECT source, line FROM lines GROUP BY source, line HAVING count(DISTINCT body) > 100
+), removed AS (
+    SELECT r, sum(len(string_split(line, ' '))) AS n
+    FROM lines JOIN frequent USING (line) WHERE lines.source IS NOT DISTINCT FROM frequent.source GROUP BY r
+), measured AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(list_sum([length(w) FOR w IN words]), 0) AS word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, len(words) - coalesce(removed.n, 0) AS words_left
+    FROM docs LEFT JOIN repeats USING (r) LEFT JOIN removed USING (r)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       words_left::BIGINT AS words_left,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 0.3 * n_words AS kept
+FROM measured
+"""

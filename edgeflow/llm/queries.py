@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, packing, quality, simhash
+from edgeflow.llm import bpe, languages, packing, pages, quality, rules, simhash
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -50,6 +50,16 @@ def op7_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary))
 
 
+@query
+def op8_html(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_rules(spark, sf_dir):
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
