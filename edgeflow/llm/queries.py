@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, packing, pages, quality, rules, simhash
+from edgeflow.llm import bpe, languages, lines, packing, pages, quality, rules, simhash
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -44,6 +44,12 @@ def op5_languages(spark, sf_dir):
     return found.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs, counts="lines_deleted")
+
+
 @query
 def op7_bpe(spark, sf_dir):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
