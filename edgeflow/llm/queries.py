@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, lines, packing, pages, quality, rules, simhash
+from edgeflow.llm import bpe, languages, lines, packing, pages, quality, rules, search, simhash
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -37,6 +37,12 @@ def op3_quality(spark, sf_dir):
     )
 
 
+@query
+def op4_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.top_k(docs, docs.where("doc_id % 50 = 0"), k=10)
+
+
 @query
 def op5_languages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
