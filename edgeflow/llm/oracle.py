@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from edgeflow.llm import licences
+
 ORACLE = {}
 
 ORACLE["op9_rules"] = r"""
@@ -39,3 +41,62 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 0.3 * n_words AS kept
 FROM measured
 """
+
+
+def _licences():
+    idf, other, vectors = licences.weights()
+    terms = ", ".join(f"('{term}', {value!r}::DOUBLE)" for term, value in sorted(idf.items()))
+    weights = ", ".join(
+        f"({k}, '{licence}', '{term}', {value!r}::DOUBLE)"
+        for k, (licence, vector) in enumerate(vectors) for term, value in sorted(vector.items())
+    )
+    return rf"""
+WITH terms(term, idf) AS (VALUES {terms}), weights(k, licence, term, w) AS (VALUES {weights}),
+templates AS (SELECT DISTINCT k, licence FROM weights),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           concat_ws('/', source, lang, (floor(doc_id / 1000)::BIGINT)::VARCHAR, doc_id::VARCHAR) AS path
+    FROM documents
+), files AS (SELECT r, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS folder FROM docs),
+parts AS (
+    SELECT r, true AS whole, text AS part FROM docs WHERE regexp_matches(text, '{licences.NAMED}')
+    UNION ALL
+    SELECT r, false, part FROM (
+        SELECT r, unnest(list_distinct(list_concat(
+            string_split(text, chr(10)), regexp_split_to_array(text, '\n[ \t\r]*\n')))) AS part FROM docs)
+    WHERE regexp_matches(part, '{licences.NAMED}')
+), units AS (
+    SELECT row_number() OVER () AS u, r, whole, regexp_extract_all(lower(part), '{licences.TERM}') AS found FROM parts
+), counted AS (
+    SELECT u, term, count(*) AS n FROM (SELECT u, unnest(found) AS term FROM units) GROUP BY u, term
+), norms AS (
+    SELECT u, sqrt(sum((n * coalesce(idf, {other!r}::DOUBLE)) ** 2)) AS norm
+    FROM counted LEFT JOIN terms USING (term) GROUP BY u
+), dots AS (
+    SELECT u, k, sum(n * idf * w) AS dot FROM counted JOIN terms USING (term) JOIN weights USING (term) GROUP BY u, k
+), scores AS (
+    SELECT r, whole, licence, round(coalesce(dot, 0) / norm, {licences.PLACES}) AS score
+    FROM units JOIN norms USING (u) CROSS JOIN templates LEFT JOIN dots USING (u, k)
+), own AS (
+    SELECT r, CASE WHEN whole THEN 'file' ELSE 'notice' END AS origin, score, licence,
+           row_number() OVER (PARTITION BY r ORDER BY whole DESC, score DESC, licence DESC) AS place
+    FROM scores WHERE score >= CASE WHEN whole THEN {licences.FILE!r} ELSE {licences.NOTICE!r} END
+), mine AS (SELECT * FROM own WHERE place = 1),
+licensed AS (
+    SELECT folder, score, licence, path, row_number() OVER (
+        PARTITION BY folder ORDER BY score DESC, licence DESC, path DESC) AS place
+    FROM files JOIN mine USING (r) WHERE origin = 'file'
+), nearest AS (
+    SELECT r, l.score, l.licence, l.path, row_number() OVER (PARTITION BY r ORDER BY length(l.folder) DESC) AS place
+    FROM (SELECT r, unnest([array_to_string(string_split(folder, '/')[1:n], '/')
+                            FOR n IN range(0, len(string_split(folder, '/')) + 1)]) AS above FROM files)
+    JOIN licensed l ON l.folder = above AND l.place = 1
+)
+SELECT doc_id, f.path, coalesce(m.licence, n.licence) AS licence, coalesce(m.score, n.score) AS score,
+       CASE WHEN m.r IS NOT NULL THEN m.origin WHEN n.r IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN m.r IS NULL THEN n.path END AS origin_path
+FROM files f LEFT JOIN mine m USING (r) LEFT JOIN (SELECT * FROM nearest WHERE place = 1) n USING (r)
+"""
+
+
+ORACLE["op2_licences"] = _licences()

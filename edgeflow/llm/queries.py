@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, lines, packing, pages, quality, rules, search, simhash
+from edgeflow.llm import bpe, languages, licences, lines, packing, pages, quality, rules, search, simhash
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -25,6 +25,13 @@ def op1_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op2_licences(spark, sf_dir):
+    """The files of a source lie in folders by language and thousand."""
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
 @query
 def op3_quality(spark, sf_dir):
     learnable = fold(F.col("doc_id")) != HELD_OUT
