@@ -241,9 +241,12 @@ def score(docs, weights, text="text", name="score"):
     return mapped(docs.withColumn(given, text_bytes(F.col(text))), run, schema)
 
 
-def classify(docs, labels, learnable=None, max_rows=MAX_ROWS, id="doc_id", text="text", label="quality"):
+def classify(
+    docs, labels, learnable=None, max_rows=MAX_ROWS, id="doc_id", text="text", label="quality",
+    name="score",
+):
     """Learn from `labels` and score `docs`; see `sample` and `score`."""
     labels = labels.select(F.col(id), F.col(label).alias("label"))
     learnable = F.lit(True) if learnable is None else learnable
-    return score(docs, learn(sample(docs, labels, learnable, max_rows, id, text)), text)
+    return score(docs, learn(sample(docs, labels, learnable, max_rows, id, text)), text, name)
 

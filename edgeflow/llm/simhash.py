@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from edgeflow.llm import golay
-from edgeflow.llm.common import mapped, slices, text_bytes
+from edgeflow.llm.common import mapped, slices, text_bytes, unused
 from edgeflow.llm.components import stars
 from edgeflow.plans import keep, partitions
 
@@ -58,25 +58,24 @@ def fingerprint(text, shingle=4):
 
 
 def fingerprints(docs, shingle=4, id="doc_id", text="text"):
-    """(doc_id, fp) of every whole text, a row for each row of `docs`, `fp` as a signed 64-bit number.
+    """(doc_id, body, fp) of every whole text, a row for each row of `docs`, `fp` as a signed 64-bit number.
 
     A-Z in lower case, words between ASCII white space, shingles of `shingle` words joined by spaces,
     repeats included; fewer words are one shingle. A bit is set if over half of the shingles' XXH64
-    (seed 42) have it. Null and empty texts and those without words have zero. Other columns are not
-    read, whatever their names.
+    (seed 42) have it. Null and empty texts and those without words have zero. `body` is a hash of the
+    text. Other columns are not read, whatever their names.
     """
 
     def run(batches):
         for batch in slices(batches, "text"):
             found = [fingerprint(t.as_buffer().to_pybytes(), shingle) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("body"), pa.array(found, pa.int64())], names=["doc_id", "body", "fp"]
             )
 
     kind = docs.schema[id].dataType.simpleString()
-    return mapped(
-        docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")), run, f"doc_id {kind}, fp bigint"
-    )
+    given = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text_bytes(F.col(text))).alias("body"), text_bytes(F.col(text)).alias("text"))
+    return mapped(given, run, f"doc_id {kind}, body bigint, fp bigint")
 
 
 def _halves(words, bits):
@@ -197,6 +196,13 @@ def links(distinct, max_bits=MAX_BITS):
     return mapped(by_key, _linked(max_bits), "a bigint, b bigint")
 
 
+def roots(distinct, max_bits=MAX_BITS):
+    """Distinct fingerprints (fp, …) with `root`, the same for all that hang together, written once."""
+    star = stars(links(distinct, max_bits), "simhash-links")
+    met = distinct.join(star.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
+    return keep(met.withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+
+
 def components(docs, shingle=4, max_bits=MAX_BITS, id="doc_id", text="text"):
     """(doc_id, fp, component_id): documents whose fingerprints hang together by links of `max_bits` bits.
 
@@ -206,13 +212,10 @@ def components(docs, shingle=4, max_bits=MAX_BITS, id="doc_id", text="text"):
     """
     rows = keep(fingerprints(docs, shingle, id, text), "simhash-rows")
     distinct = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    star = stars(links(distinct, max_bits), "simhash-links")
-    rooted = distinct.join(star.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = keep(rooted, "simhash-rooted")
+    rooted = roots(distinct, max_bits)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
+    # a fingerprint that very many documents share makes a skewed partition, which adaptive execution splits
     return rows.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -222,9 +225,17 @@ def hex_digits(fp):
 
 
 def keep_one(docs, shingle=4, max_bits=MAX_BITS, id="doc_id", text="text"):
-    """The rows of `docs` with one document of each component, the one with the smallest id; repeated ids once.
+    """The rows of `docs` with one document of each component.
 
-    Rows without an id go: they cannot be told apart.
+    The one with the smallest id stays, null ids being the largest; of several texts under that id the
+    one with the least hash, and of equal rows one.
     """
-    firsts = components(docs, shingle, max_bits, id, text).select(F.col("component_id").alias(id)).distinct()
-    return docs.join(firsts, id, "left_semi").dropDuplicates([id])
+    rows = fingerprints(docs, shingle, id, text)
+    one = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), "body")
+    distinct = keep(rows.groupBy("fp").agg(F.min(one).alias("one")), "simhash-distinct")
+    kept = roots(distinct, max_bits).groupBy("root").agg(F.min("one").alias("one"))
+    doc = unused(docs, "_doc")
+    marked = docs.withColumn(
+        doc, F.struct(F.col(id).isNull().alias("missing"), F.col(id).alias("id"), F.xxhash64(text_bytes(F.col(text))).alias("body"))
+    )
+    return marked.join(kept.select(F.col("one").alias(doc)), doc, "left_semi").dropDuplicates([doc]).drop(doc)
