@@ -33,7 +33,11 @@ UNKNOWN = "und"
 
 #: Letters in UTF-8: ASCII letters and the bytes of any longer character.
 IN_LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
-_SOME_LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text):
+    return any(m[0].isalpha() for m in _LETTERS.finditer(text))
 
 
 def squash(x, spare=None):
@@ -245,7 +249,7 @@ def sample(docs, learnable, per_language=PER_LANGUAGE, id="doc_id", text="text",
         if used[row["language"]] < per_language:
             used[row["language"]] += 1
             for piece in dict.fromkeys(row["pieces"]):
-                if _SOME_LETTER.search(piece):
+                if has_letter(piece):
                     windows.append(cut(piece.encode(), LEARNED)[:1])
                     labels.append(names.index(row["language"]))
     windows = np.concatenate(windows) if windows else np.empty((0, LEARNED), np.uint8)
@@ -269,7 +273,7 @@ def label(docs, network, text="text", names=("lang_pred", "score")):
         net = shared.value
         for batch in slices(batches, given):
             texts = [t.as_buffer().to_pybytes() for t in batch.column(given)]
-            texts = [t if _SOME_LETTER.search(t.decode("utf-8", "replace")) else b"" for t in texts]
+            texts = [t if has_letter(t.decode("utf-8", "replace")) else b"" for t in texts]
             p = pooled(net, texts) if net.names else np.zeros((len(texts), 1))
             best = p.argmax(1)
             known = [bool(t and net.names) for t in texts]

@@ -50,7 +50,7 @@ def marks(attributes):
 
 
 class _Reader:
-    """Lines of a page: [text, characters outside links, whether in an article element]."""
+    """Lines of a page: [text, characters but spaces outside links, whether in an article element]."""
 
     def __init__(self):
         self.lines, self.text, self.linked = [], [], 0
@@ -60,7 +60,7 @@ class _Reader:
     def end_line(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append([text, max(0, len(text) - self.linked), self.content > 0])
+            self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.content > 0])
         self.text, self.linked = [], 0
 
     def start(self, name, attributes):
@@ -141,7 +141,7 @@ def lines_of(page):
     """[text, weight] of each line of a page, gaps as empty lines of weight 0.
 
     Where the markup names an article, all lines in it weigh enough to surge and no other line has
-    weight. Elsewhere a line weighs its characters outside links.
+    weight. Elsewhere a line weighs its characters but spaces outside links.
     """
     lines = _Reader().read(page)
     if any(line[0] and line[2] for line in lines):
