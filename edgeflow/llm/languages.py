@@ -242,7 +242,7 @@ def sample(docs, learnable, per_language=PER_LANGUAGE, id="doc_id", text="text",
     )
     found = (
         rows.where(within).select("language", place.alias("place"), pieces.alias("pieces"))
-        .orderBy("place", "language").limit(2 * per_language * len(sizes)).collect() if sizes else []
+        .orderBy("place", "language").limit(4 * per_language * len(sizes)).collect() if sizes else []
     )
     used, windows, labels = dict.fromkeys(names, 0), [], []
     for row in sorted(found, key=lambda r: (r["place"], r["language"], r["pieces"])):

@@ -100,3 +100,25 @@ FROM files f LEFT JOIN mine m USING (r) LEFT JOIN (SELECT * FROM nearest WHERE p
 
 
 ORACLE["op2_licences"] = _licences()
+
+ORACLE["op4_search"] = r"""
+WITH counted AS (
+    SELECT doc_id, term, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents)
+    GROUP BY doc_id, term
+), lengths AS (SELECT doc_id, sum(n) AS words FROM counted GROUP BY doc_id),
+whole AS (SELECT count(*) AS documents, (SELECT sum(n) FROM counted)::DOUBLE / count(*) AS mean FROM documents),
+idf AS (
+    SELECT term, ln(1 + (any_value(documents) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+    FROM counted CROSS JOIN whole GROUP BY term
+), scored AS (
+    SELECT q.doc_id AS query_id, d.doc_id, round(sum(
+        q.n * idf * d.n * (1.2 + 1)::DOUBLE / (d.n + 1.2::DOUBLE * (0.25 + 0.75 * words / mean))), 6) AS score
+    FROM counted q JOIN counted d USING (term) JOIN idf USING (term) JOIN lengths ON lengths.doc_id = d.doc_id CROSS JOIN whole
+    WHERE q.doc_id % 50 = 0 GROUP BY q.doc_id, d.doc_id
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

@@ -235,7 +235,8 @@ def weighted(queries, shards, documents):
     )
     idf = F.log(1 + (documents - F.col("df") + 0.5) / (F.col("df") + 0.5))
     together = asked.join(df, "terms").select("id", F.struct("terms", (F.col("counts") * idf).alias("weight")).alias("t"))
-    return together.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    listed = together.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return listed.select("id", F.col("t.terms").alias("terms"), F.col("t.weight").alias("weights"))
 
 
 def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="text", query_id="doc_id"):
@@ -257,17 +258,16 @@ def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="tex
     found = []
     for number in range(blocks):
         # queries_at_a_time of them on average, whatever the size of the tables
-        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).collect()
-        rows.sort(key=lambda r: r["id"])
+        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toArrow().sort_by("id").combine_chunks()
         weights = [
-            (np.array([t["terms"] for t in r["t"]], np.int64), np.array([t["weight"] for t in r["t"]])) for r in rows
+            tuple(value.values.to_numpy() for value in pair) for pair in zip(rows.column("terms"), rows.column("weights"))
         ]
         block = spark.sparkContext.broadcast(weights)
         kind = docs.schema[id].dataType.simpleString()
         partial = mapped(
             shards, _search(block, k, total["words"] / max(total["n"], 1)), f"number int, doc_id {kind}, score double"
         )
-        names = spark.createDataFrame([(i, r["id"]) for i, r in enumerate(rows)], f"number int, query_id {_kind(asked)}")
+        names = spark.createDataFrame(list(enumerate(rows.column("id").to_pylist())), f"number int, query_id {_kind(asked)}")
         # no more rows than queries_at_a_time
         found.append(keep(partial.join(F.broadcast(names), "number").drop("number"), "search-found"))
         block.unpersist()
