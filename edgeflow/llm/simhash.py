@@ -191,8 +191,10 @@ def links(distinct, max_bits=MAX_BITS):
     """Links (a, b) that connect the same of the distinct fingerprints (fp) as all pairs within `max_bits` do."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the keys find links of at most {MAX_BITS} bits")
-    keyed = mapped(distinct.select("fp"), _keyed, "key bigint, fp bigint")
-    by_key = keyed.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
+    tasks = partitions(distinct.sparkSession)
+    # a task writes a hundred rows for each it reads, so the few files of the distinct ones are not enough
+    keyed = mapped(distinct.select("fp").repartition(tasks, "fp"), _keyed, "key bigint, fp bigint")
+    by_key = keyed.repartition(tasks, "key").sortWithinPartitions("key")
     return mapped(by_key, _linked(max_bits), "a bigint, b bigint")
 
 
