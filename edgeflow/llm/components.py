@@ -9,22 +9,28 @@ execution can split.
 
 from pyspark.sql import functions as F
 
-from edgeflow.plans import Rounds
+from edgeflow.plans import Rounds, keep
 
 
 def _state(links):
     return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
+def _smallest(links):
+    """(a, low): a table of its own, so that both sides of its joins are shuffled and can be split."""
+    return keep(links.groupBy("a").agg(F.min("b").alias("low")), "components-smallest")
+
+
 def _large_star(links):
     """(a > b) → every neighbour above a vertex goes to the smallest of the vertex and its neighbours."""
-    smallest = links.groupBy("a").agg(F.min("b").alias("low"))
+    smallest = _smallest(links)
     towards = links.join(smallest.select(F.col("a").alias("b"), "low"), "b", "left")
     return towards.select("a", F.coalesce("low", "b").alias("b"))
 
 
 def _small_star(links):
-    smallest = links.groupBy("a").agg(F.min("b").alias("low"))
+    links = keep(links.distinct(), "components-large")
+    smallest = _smallest(links)
     both = links.join(smallest, "a")
     own = both.select("a", F.col("low").alias("b"))
     others = both.where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))

@@ -52,7 +52,9 @@ def pairs(found, pair_words=PAIR_WORDS):
         "doc", F.explode(F.array_distinct(F.transform(longer, lambda e: F.struct(e["h"].alias("h"), e["n"].alias("n"))))).alias("line")
     )
     shared = lines.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    return lines.join(shared.select("line", "first"), "line").where("first < doc").select("doc", "first").distinct()
+    # a table of its own: adaptive execution splits the documents of a hot line only where both sides are shuffled
+    shared = keep(shared.select("line", "first"), "lines-shared")
+    return lines.join(shared, "line").where("first < doc").select("doc", "first").distinct()
 
 
 def _rising(pairs_):
