@@ -2,9 +2,9 @@
 
 Rounds of two steps, after the published large-star and small-star method: every vertex ties its
 larger neighbours to its smallest one, then its smaller neighbours to the smallest of them. The links
-of each round are a written table, minima are combined before they are shuffled, and only a count and
-a checksum of a round visit the driver. Links of a hub meet its minimum in a join that adaptive
-execution can split.
+of each round are a written table, minima are combined before they are shuffled, and nothing of a round
+visits the driver but whether there is more to do. Links of a hub meet its minimum in a join that
+adaptive execution can split.
 """
 
 from pyspark.sql import functions as F
@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from edgeflow.plans import Rounds, keep
 
 
-def _state(links):
-    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+def _all_stars(links):
+    """Whether every vertex has one link down and none up, or only links up."""
+    lower = links.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    upper = links.select(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    ends = lower.unionByName(upper).groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.where("down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
 def _smallest(links):
@@ -46,11 +50,7 @@ def stars(links, name="components"):
     rounds = Rounds(spark, name, "a bigint, b bigint")
     ordered = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     current, number = rounds.write(0, ordered.distinct()), 0
-    state = _state(current)
-    while state[0]:
+    while not _all_stars(current):
         number += 1
         current = rounds.write(number, _small_star(_large_star(current)))
-        before, state = state, _state(current)
-        if state == before:
-            break
     return current

@@ -4,7 +4,8 @@ A page is read as lines: each block element of the markup starts one. What menus
 sidebars, notices, adverts, forms, scripts, styles and reader comments hold is left out and leaves a
 gap of empty lines. The text lengths are summed over windows of a few lines. Between the point where
 the sums surge from zero and the one where they dive back to zero lies a passage; the passages in
-which a window reaches the threshold are the main text, short lines among them included.
+which a window reaches the threshold are the main text, short lines among them included; on a page with little
+text it is the longest passage.
 """
 
 import html
@@ -150,7 +151,7 @@ def lines_of(page):
 
 
 def passages(weights, window=WINDOW, surge=SURGE):
-    """(start, end) of the passages between surge and dive points whose window sums reach `surge`."""
+    """(start, end) of the passages between surge and dive points whose window sums reach `surge`; else of the heaviest one."""
     sums, total = [], 0
     for i, weight in enumerate(weights):
         total += weight - (weights[i - window] if i >= window else 0)
@@ -161,10 +162,10 @@ def passages(weights, window=WINDOW, surge=SURGE):
         if start is None and not dry:
             start = i
         elif start is not None and dry:
-            if max(sums[start:i]) >= surge:
-                found.append((start, i))
+            found.append((start, i))
             start = None
-    return found
+    high = [(start, end) for start, end in found if max(sums[start:end]) >= surge]
+    return high or sorted(found, key=lambda p: sum(weights[p[0]: p[1]]))[-1:]
 
 
 def main_text(page):

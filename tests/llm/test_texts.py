@@ -183,7 +183,7 @@ LONG = ("A long paragraph of the article. " * 8).strip()
 
 @pytest.mark.parametrize("html, blocks", [
     ("", []), ("no markup at all but " + "many words " * 20, [("no markup at all but " + "many words " * 20).strip()]),
-    ("<p>short</p>", []),
+    ("<p>short</p>", ["short"]), ("<nav>short</nav><p>a page</p><footer>x</footer>", ["a page"]), ("<nav>short</nav>", []),
     (f"<nav><a href=x>Menu</a></nav><article><h1>Title</h1>{BODY}<p>Ti.</p></article><footer>&copy; x</footer>", ["Title", LONG, "Ti."]),
     (f"<article><p><b>Bold.<br>&amp;\n  next<p>Open {BODY}", ["Bold. & next", "Open", LONG]),
     (f"<article>{BODY}<div class='ad-box'>Buy<div>this</div></div><p>End.</p><section id=comments><p>First!</p></section></article>", [LONG, "End."]),
