@@ -7,15 +7,19 @@ side by side and, for each term and block of a few documents, the largest impact
 
 A query is a set of weighted terms. In a shard the largest impacts of its terms add up to a bound for
 each block. Blocks are read in falling order of the bound, and those whose bound is below the k-th
-best score found so far are never read: no document in them can be among the best. The k best of all
-shards are merged exactly. Queries are sent to the shards in blocks of a bounded number.
+best score found so far are never read: no document in them can be among the best. Shards are asked in
+waves, each several times as large as all before it and with the k-th best score found before as the
+least, so that a query gets a few times k documents from a wave, however many shards there are. The k
+best of all are merged exactly. Queries are sent to the shards in blocks of a bounded number.
 """
 
+import functools
 import re
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -24,14 +28,18 @@ from edgeflow.plans import keep
 
 #: Constants of BM25.
 K1, B = 1.2, 0.75
-#: Postings of a shard and documents of a block.
-SHARD_POSTINGS, BLOCK = 2_000_000, 16
+#: Postings of a shard, documents of a block, and the part of a shard's documents that have a frequent term.
+SHARD_POSTINGS, BLOCK, FREQUENT = 1_000_000, 64, 8
 #: Queries sent to the shards at a time.
 QUERIES = 2_000
-#: Blocks that a query reads first; each further helping is twice as large.
-HELPING = 16
+#: Shards of the first wave on average, and how many times as many the waves reach each time.
+FIRST_WAVE, GROWTH = 4, 8
+#: Queries that a shard answers together.
+TOGETHER = 32
+#: Blocks that a query without a k-th best score reads first.
+FIRST = 4
 #: Words a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Bounds are sums in another order than scores.
 SLACK = 1 + 1e-9
 #: Decimal places of a score, and what rounding may add to one.
@@ -94,35 +102,38 @@ def _shard(ids, found):
 
 
 def index(docs, shard_postings=SHARD_POSTINGS, id="doc_id", text="text"):
-    """Shards of the inverted index of every row of `docs`; a row is a document of its own."""
+    """Shards of the inverted index of every row of `docs`; a row is a document of its own.
+
+    `place`, evenly spread between 0 and 1, is fixed by the task and the number of the shard in it.
+    """
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches):
-        hashes, ids, found, postings = _Hashes(), [], [], 0
-        types = [pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-        names = ["ids", "lengths", "terms", "df", "places", "counts"]
+        hashes, ids, found, postings, id_type, number = _Hashes(), [], [], 0, None, 0
+        names = ["place", "ids", "lengths", "terms", "df", "places", "counts"]
 
         def shard():
-            row = _shard(ids, found)
+            place = (xxhash.xxh64_intdigest(f"{TaskContext.get().partitionId()} {number}") >> 11) / 2**53
+            row = {"place": place, **_shard(ids, found)}
+            lists = [id_type, pa.int64(), pa.int64(), pa.int32()]
+            types = [pa.float64(), *map(pa.list_, lists), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([row[n]], t) for n, t in zip(names, types)], names=names)
 
         for batch in slices(batches, "text"):
+            id_type = batch.schema.field("id").type
             for doc, value in zip(batch.column("id"), batch.column("text")):
                 ids.append(doc.as_py())
                 found.append(hashes.of(value.as_buffer().to_pybytes().decode("utf-8", "replace")))
                 postings += len(found[-1][0])
                 if postings >= shard_postings:
                     yield shard()
-                    ids, found, postings = [], [], 0
+                    ids, found, postings, number = [], [], 0, number + 1
         if ids:
             yield shard()
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(docs.schema[id].dataType)
     return mapped(
         docs.select(F.col(id).alias("id"), text_bytes(F.col(text)).alias("text")), run,
-        f"ids array<{kind}>, lengths array<bigint>, terms array<bigint>, df array<int>, places binary, counts binary",
+        f"place double, ids array<{kind}>, lengths array<bigint>, terms array<bigint>, df array<int>, places binary, counts binary",
     )
 
 
@@ -133,70 +144,93 @@ def _ranges(starts, counts):
 
 
 class Shard:
-    """Postings of a shard with impacts, and the largest impact in each block."""
+    """Postings of a shard with impacts; those of frequent terms as full rows, cut into blocks of documents.
+
+    A frequent term has a row of impacts in each block and the largest of them. The other terms have
+    about one posting in each block they have any in, so their postings are their largest impacts.
+    """
 
     def __init__(self, ids, lengths, terms, df, places, counts, mean_length):
-        self.documents, self.terms = len(lengths), terms
+        self.documents, self.blocks = len(lengths), -(-len(lengths) // BLOCK)
         by_id = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i]))
         self.id_order = np.empty(len(ids), np.int64)
         self.id_order[by_id] = np.arange(len(ids))
+        self.terms, self.places = terms, places
         self.starts = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        self.places = places
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.impacts = counts * (K1 + 1) / (counts + norm[places])
-        block = places // BLOCK
-        first = np.ones(len(places), bool)
-        first[1:] = block[1:] != block[:-1]
-        first[self.starts[:-1]] = True
-        self.block_starts = np.append(np.flatnonzero(first), len(places))
-        entries = self.block_starts[:-1]
-        self.blocks = block[entries]
-        self.block_max = np.maximum.reduceat(self.impacts, entries) if len(entries) else np.empty(0)
-        self.entry_starts = np.searchsorted(entries, self.starts)
-
-    def best(self, terms, weights, k, least=-np.inf):
-        """(places, scores) of the `k` best documents with a term that reach `least`.
+        frequent = np.flatnonzero(df > self.documents / FREQUENT)
+        self.row = np.full(len(terms), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        rows = np.zeros((len(frequent), self.blocks * BLOCK))
+        for row, term in enumerate(frequent):
+            some = slice(self.starts[term], self.starts[term + 1])
+            rows[row, places[some]] = self.impacts[some]
+        blocks = rows.reshape(len(frequent), self.blocks, BLOCK)
+        self.rows, self.largest = np.ascontiguousarray(blocks.transpose(1, 0, 2)), blocks.max(2)
+
+    def asked(self, terms, weights):
+        """What a query gets from rare terms, (blocks, BLOCK), and its weights of the frequent ones."""
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        at, weights = at[there], weights[there]
+        row = self.row[at]
+        rare, often = row < 0, np.zeros(len(self.largest))
+        often[row[~rare]] = weights[~rare]
+        at, weights = at[rare], weights[rare]
+        sizes = self.starts[at + 1] - self.starts[at]
+        postings = _ranges(self.starts[at], sizes)
+        gains = np.repeat(weights, sizes) * self.impacts[postings]
+        total = np.bincount(self.places[postings], gains, self.blocks * BLOCK)
+        return total.reshape(self.blocks, BLOCK).astype(float), often
+
+    def best(self, queries, k, least):
+        """(places, scores) for each of some queries (terms, weights): its `k` best documents that reach its `least`.
 
         Scores are rounded; of equal ones the smaller id is better.
         """
-        at = np.searchsorted(self.terms, terms)
-        there = at < len(self.terms)
-        there[there] = self.terms[at[there]] == terms[there]
-        at, weights = at[there], weights[there]
-        if not len(at):
-            return np.empty(0, np.int64), np.empty(0)
-        low, counts = self.entry_starts[at], self.entry_starts[at + 1] - self.entry_starts[at]
-        entries, weight = _ranges(low, counts), np.repeat(weights, counts)
-        blocks = self.blocks[entries]
-        bounds = np.bincount(blocks, weight * self.block_max[entries], -(-self.documents // BLOCK)) * SLACK
-        order = np.argsort(-bounds, kind="stable")
-        places, scores, done, helping = np.empty(0, np.int64), np.empty(0), 0, HELPING
-        while done < len(order) and bounds[order[done]] >= least - ROUNDING and bounds[order[done]] > 0:
-            chosen = np.zeros(len(bounds), bool)
-            some = order[done: done + helping]
-            chosen[some[(bounds[some] >= least - ROUNDING) & (bounds[some] > 0)]] = True
-            done, helping = done + helping, 2 * helping
-            picked = chosen[blocks]
-            own, own_weight = entries[picked], weight[picked]
-            sizes = self.block_starts[own + 1] - self.block_starts[own]
-            postings = _ranges(self.block_starts[own], sizes)
-            where = self.places[postings]
-            total = np.bincount(where, np.repeat(own_weight, sizes) * self.impacts[postings], self.documents)
-            new = np.flatnonzero(total)
-            places = np.concatenate([places, new])
-            scores = np.concatenate([scores, np.round(total[new], PLACES)])
-            if len(scores) >= k:
-                least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
-                high = scores >= least
-                places, scores = places[high], scores[high]
-        high = scores >= least
-        places, scores = places[high], scores[high]
-        first = np.lexsort((self.id_order[places], -scores))[:k]
-        return places[first], scores[first]
-
-
-def _search(block, k, mean_length):
-    """Function of batches of shards that gives (number of the query in the block, id, score)."""
+        totals, often = (np.stack(x) for x in zip(*(self.asked(*query) for query in queries)))
+        bounds = (totals.max(2) + often @ self.largest) * SLACK
+        read = np.zeros(bounds.shape, bool)
+
+        def scores_of(number):
+            chosen = np.flatnonzero(read[number])
+            found = np.round(totals[number, chosen], PLACES)
+            high, column = np.nonzero(found >= max(least[number], 10.0**-PLACES))
+            scores = found[high, column]
+            if len(scores) > k:
+                kept = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                high, column, scores = high[kept], column[kept], scores[kept]
+            return chosen[high] * BLOCK + column, scores
+
+        least = np.array(least, float)
+        if self.blocks > FIRST:
+            for number in np.flatnonzero(least == -np.inf):
+                # the blocks with the largest bounds give a first k-th best score
+                for block in np.argpartition(-bounds[number], FIRST)[:FIRST]:
+                    totals[number, block] += often[number] @ self.rows[block]
+                    read[number, block] = True
+                _, scores = scores_of(number)
+                if len(scores) >= k:
+                    least[number] = scores.min()
+        wanted = (bounds > 0) & (bounds >= least[:, None] - ROUNDING) & ~read
+        for block in np.flatnonzero(wanted.any(0)):
+            some = np.flatnonzero(wanted[:, block])
+            totals[some, block] += often[some] @ self.rows[block]
+        read |= wanted
+        found = []
+        for number in range(len(queries)):
+            places, scores = scores_of(number)
+            first = np.lexsort((self.id_order[places], -scores))[:k]
+            found.append((places[first], scores[first]))
+        return found
+
+
+def _search(block, reached, k, mean_length):
+    """Function of batches of shards that gives (number of the query in the block, id, score).
+
+    `reached`: the least score of each query that can still be among its best.
+    """
 
     def run(batches):
         queries = block.value
@@ -210,13 +244,14 @@ def _search(block, k, mean_length):
                     *(np.frombuffer(column[n].as_buffer(), "<i4") for n in ("places", "counts")), mean_length,
                 )
                 numbers, places, scores = [], [], []
-                for number, (terms_, weights) in enumerate(queries):
-                    seen = found[number]
-                    where, score = shard.best(terms_, weights, k, seen[0] if len(seen) == k else -np.inf)
-                    found[number] = np.sort(np.concatenate([seen, score]))[-k:]
-                    numbers.append(np.full(len(where), number))
-                    places.append(where)
-                    scores.append(score)
+                for start in range(0, len(queries), TOGETHER):
+                    some = range(start, min(start + TOGETHER, len(queries)))
+                    least = [max(reached[n], found[n][0] if len(found[n]) == k else -np.inf) for n in some]
+                    for number, (where, score) in zip(some, shard.best(queries[start: start + TOGETHER], k, least)):
+                        found[number] = np.sort(np.concatenate([found[number], score]))[-k:]
+                        numbers.append(np.full(len(where), number))
+                        places.append(where)
+                        scores.append(score)
                 ids = column["ids"].values.take(pa.array(np.concatenate(places), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(numbers), pa.int32()), ids, pa.array(np.concatenate(scores))],
@@ -249,9 +284,11 @@ def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="tex
     """
     spark = docs.sparkSession
     shards = keep(index(docs, id=id, text=text), "search-index")
+    words = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)
     total = shards.agg(
-        F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("words")
+        F.count(F.lit(1)).alias("shards"), F.sum(F.size("ids")).alias("n"), F.sum(words).alias("words")
     ).first()
+    kind = docs.schema[id].dataType.simpleString()
     asked = queries.where(F.col(query_id).isNotNull()).groupBy(F.col(query_id).alias("id")).agg(F.min(text).alias("text"))
     asked = keep(weighted(terms(asked, "id", "text"), shards, float(total["n"] or 0)), "search-queries")
     blocks = -(-asked.count() // queries_at_a_time)
@@ -263,25 +300,33 @@ def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="tex
             tuple(value.values.to_numpy() for value in pair) for pair in zip(rows.column("terms"), rows.column("weights"))
         ]
         block = spark.sparkContext.broadcast(weights)
-        kind = docs.schema[id].dataType.simpleString()
-        partial = mapped(
-            shards, _search(block, k, total["words"] / max(total["n"], 1)), f"number int, doc_id {kind}, score double"
-        )
         names = spark.createDataFrame(list(enumerate(rows.column("id").to_pylist())), f"number int, query_id {_kind(asked)}")
-        # no more rows than queries_at_a_time
-        found.append(keep(partial.join(F.broadcast(names), "number").drop("number"), "search-found"))
+        own, reached, low, high = [], np.full(len(weights), -np.inf), 0.0, FIRST_WAVE / max(total["shards"], 1)
+        while low < 1 and weights:
+            wave = shards.where((F.col("place") >= low) & (F.col("place") < high))
+            run = _search(block, reached, k, total["words"] / max(total["n"], 1))
+            own.append(keep(mapped(wave, run, f"number int, doc_id {kind}, score double"), "search-found"))
+            low, high = high, high * GROWTH
+            if low < 1:
+                # one number for each query of the block
+                scores = _union(own).groupBy("number").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
+                for row in scores.select("number", F.get("s", F.lit(k - 1)).alias("least")).where("least IS NOT NULL").collect():
+                    reached[row["number"]] = row["least"]
         block.unpersist()
+        # no more than queries_at_a_time names
+        found += [part.join(F.broadcast(names), "number").drop("number") for part in own]
     if not found:
         empty = f"query_id {_kind(asked)}, rank int, doc_id {docs.schema[id].dataType.simpleString()}, score double"
         return spark.createDataFrame([], empty)
-    union = found[0]
-    for other in found[1:]:
-        union = union.unionByName(other)
-    ranked = union.withColumn(
+    ranked = _union(found).withColumn(
         "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id")))
     )
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
+def _union(tables):
+    return functools.reduce(lambda a, b: a.unionByName(b), tables)
+
+
 def _kind(asked):
     return asked.schema["id"].dataType.simpleString()

@@ -96,6 +96,7 @@ def _close(found, expected, k):
 @pytest.mark.parametrize("k, postings", [(1, 10**6), (10, 3_000), (10, 500)])
 def test_search_against_brute_force(documents, texts, monkeypatch, k, postings):
     monkeypatch.setattr(search.index, "__defaults__", (postings, "doc_id", "text"))
+    monkeypatch.setattr(search, "FIRST_WAVE", 1)
     found = search.top_k(documents.repartition(3), documents.where("doc_id % 20 = 0"), k=k, queries_at_a_time=4).collect()
     _close(found, plain.bm25(texts, {i: t for i, t in texts.items() if i % 20 == 0}, k), k)
 
