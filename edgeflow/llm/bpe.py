@@ -21,7 +21,7 @@ from edgeflow.llm.common import int_lists, mapped, slices, text_bytes
 from edgeflow.llm.vocabulary import byte_letters, read_vocabulary
 
 #: Words and fragments a worker remembers; the table starts anew beyond it.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class _Table(dict):
@@ -58,7 +58,9 @@ class ForcedBoundaryEncoder:
             for token in model["vocab"]
             for pair in itertools.pairwise(token.removesuffix(self.suffix))
         }
-        self.fragments = _Table(lambda key: tuple(t.id for t in (self.last if key[1] else self.inner).tokenize(key[0])))
+        # one object for each id, however many words have it
+        self.numbers = list(range(max(model["vocab"].values()) + 1))
+        self.fragments = _Table(self.fragment)
         self.words = _Table(self.word)
 
     def cuts(self, letters):
@@ -66,6 +68,10 @@ class ForcedBoundaryEncoder:
         places = [i for i, pair in enumerate(itertools.pairwise(letters), 1) if pair not in self.joined]
         return [letters[a:b] for a, b in itertools.pairwise([0, *places, len(letters)])]
 
+    def fragment(self, key):
+        letters, ends_word = key
+        return tuple(self.numbers[t.id] for t in (self.last if ends_word else self.inner).tokenize(letters))
+
     def word(self, word):
         letters = word.encode().decode("latin-1").translate(self.letters)
         *inner, last = self.cuts(letters)

@@ -171,7 +171,8 @@ def learn(windows, weights, labels, names, steps=STEPS, seed=SEED):
         # as many of each language
         chosen = np.concatenate([random.choice(m, max(1, BATCH // len(members))) for m in members])
         rate = RATE * min(1, 2 * (1 - step / (steps + 1)))
-        for p, g, a, b in zip(parameters, network.gradients(windows[chosen], weights[chosen], labels[chosen]), first, second):
+        gradients = network.gradients(windows[chosen], weights[chosen], labels[chosen])
+        for p, g, a, b in zip(parameters, gradients, first, second):
             g = np.clip(g, -1, 1)
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)

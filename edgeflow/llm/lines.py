@@ -23,8 +23,9 @@ _SPACES = " \t\n\x0b\f\r"
 
 
 def sequences(docs, id="doc_id", text="text"):
-    """(doc, lines) of the distinct rows of `docs`: `doc` has `id` and `body`, a hash of the text; a line hash, words and place.
+    """(doc, lines) of the distinct rows of `docs`.
 
+    `doc` has `id` and `body`, a hash of the text; each of the `lines` a hash `h`, its words `n` and its place `i`.
     Lines are cut at line ends and compared without white space around them; those without a word are
     left out. Null texts have no lines.
     """
@@ -48,9 +49,8 @@ def pairs(found, pair_words=PAIR_WORDS):
     Documents are in the order of id, then text hash; null ids come first.
     """
     longer = F.filter("lines", lambda e: e["n"] >= pair_words)
-    lines = found.select(
-        "doc", F.explode(F.array_distinct(F.transform(longer, lambda e: F.struct(e["h"].alias("h"), e["n"].alias("n"))))).alias("line")
-    )
+    keys = F.array_distinct(F.transform(longer, lambda e: F.struct(e["h"].alias("h"), e["n"].alias("n"))))
+    lines = found.select("doc", F.explode(keys).alias("line"))
     shared = lines.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     # a table of its own: adaptive execution splits the documents of a hot line only where both sides are shuffled
     shared = keep(shared.select("line", "first"), "lines-shared")

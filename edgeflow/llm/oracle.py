@@ -114,7 +114,8 @@ idf AS (
 ), scored AS (
     SELECT q.doc_id AS query_id, d.doc_id, round(sum(
         q.n * idf * d.n * (1.2 + 1)::DOUBLE / (d.n + 1.2::DOUBLE * (0.25 + 0.75 * words / mean))), 6) AS score
-    FROM counted q JOIN counted d USING (term) JOIN idf USING (term) JOIN lengths ON lengths.doc_id = d.doc_id CROSS JOIN whole
+    FROM counted q JOIN counted d USING (term) JOIN idf USING (term)
+    JOIN lengths ON lengths.doc_id = d.doc_id CROSS JOIN whole
     WHERE q.doc_id % 50 = 0 GROUP BY q.doc_id, d.doc_id
 ), ranked AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score

@@ -51,7 +51,8 @@ def tokens(docs, vocabulary, id="doc_id", text="text", end_id=END_ID):
 
     kind = docs.schema[id].dataType.simpleString()
     return mapped(
-        docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")), encode, f"doc_id {kind}, part int, start bigint, ids binary"
+        docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text")), encode,
+        f"doc_id {kind}, part int, start bigint, ids binary",
     )
 
 

@@ -186,7 +186,10 @@ def extract(pages, id="page_id", url="url", html="html"):
         for batch in slices(batches, "html"):
             texts = [main_text(t.as_buffer().to_pybytes().decode("utf-8", "replace")) for t in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                [
+                    batch.column("page_id"), batch.column("url"),
+                    pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()),
+                ],
                 names=["page_id", "url", "text", "n_chars"],
             )
 

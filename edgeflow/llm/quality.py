@@ -32,9 +32,9 @@ MAX_ROWS = 6_000
 #: Passes over the sample.
 PASSES = 4
 #: Words a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Words whose features are made at a time.
-STRETCH = 200_000
+STRETCH = 100_000
 
 
 class _Kinds(dict):
@@ -212,7 +212,8 @@ def sample(docs, labels, learnable, max_rows=MAX_ROWS, id="doc_id", text="text")
 
     kind = docs.schema[id].dataType.simpleString()
     found = mapped(
-        rows.select(id, F.col("label").cast("int").alias("label"), "text"), run, f"id {kind}, label int, places binary, vals binary"
+        rows.select(id, F.col("label").cast("int").alias("label"), "text"), run,
+        f"id {kind}, label int, places binary, vals binary",
     )
     order = found.orderBy(F.xxhash64("id"), "id", F.xxhash64("places", "vals")).collect()
     return [(np.frombuffer(r.places, "<i4"), np.frombuffer(r.vals, "<f4").astype(float), r.label) for r in order]

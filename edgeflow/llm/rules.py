@@ -70,8 +70,8 @@ def measures(docs, id="doc_id", text="text", host="source"):
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     with_sorted = with_windows.withColumn("windows", F.when(repeats, placed))
-    equal = lambda w, j: F.get("windows", j)["h"] == w["h"]
-    twice = F.filter("windows", lambda w, j: F.coalesce(equal(w, j - 1), F.lit(False)) | F.coalesce(equal(w, j + 1), F.lit(False)))
+    equal = lambda w, j: F.coalesce(F.get("windows", j)["h"] == w["h"], F.lit(False))
+    twice = F.filter("windows", lambda w, j: equal(w, j - 1) | equal(w, j + 1))
     with_starts = with_sorted.withColumn("windows", F.sort_array(F.transform(twice, lambda w: w["i"])))
     covered = F.aggregate(
         F.transform("windows", lambda i, j: F.least(F.lit(RUN), F.coalesce(F.get("windows", j + 1) - i, F.lit(RUN)))),

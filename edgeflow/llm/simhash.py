@@ -52,7 +52,8 @@ def fingerprint(text, shingle=4):
     counts = np.zeros(64, np.int64)
     for start in range(0, len(hashes), COUNTED):
         part = hashes[start: start + COUNTED]
-        counts += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(0, dtype=np.int64)
     bits = np.packbits(counts * 2 > len(hashes), bitorder="little")
     return int(bits.view("<i8")[0])
 
@@ -74,7 +75,8 @@ def fingerprints(docs, shingle=4, id="doc_id", text="text"):
             )
 
     kind = docs.schema[id].dataType.simpleString()
-    given = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text_bytes(F.col(text))).alias("body"), text_bytes(F.col(text)).alias("text"))
+    given = docs.select(F.col(id).alias("doc_id"), text_bytes(F.col(text)).alias("text"))
+    given = given.select("doc_id", F.xxhash64("text").alias("body"), "text")
     return mapped(given, run, f"doc_id {kind}, body bigint, fp bigint")
 
 
@@ -237,7 +239,6 @@ def keep_one(docs, shingle=4, max_bits=MAX_BITS, id="doc_id", text="text"):
     distinct = keep(rows.groupBy("fp").agg(F.min(one).alias("one")), "simhash-distinct")
     kept = roots(distinct, max_bits).groupBy("root").agg(F.min("one").alias("one"))
     doc = unused(docs, "_doc")
-    marked = docs.withColumn(
-        doc, F.struct(F.col(id).isNull().alias("missing"), F.col(id).alias("id"), F.xxhash64(text_bytes(F.col(text))).alias("body"))
-    )
+    body = F.xxhash64(text_bytes(F.col(text))).alias("body")
+    marked = docs.withColumn(doc, F.struct(F.col(id).isNull().alias("missing"), F.col(id).alias("id"), body))
     return marked.join(kept.select(F.col("one").alias(doc)), doc, "left_semi").dropDuplicates([doc]).drop(doc)

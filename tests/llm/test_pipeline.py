@@ -47,7 +47,7 @@ def test_language_stage(tables):
 
 def test_line_stage(tables):
     expected = _deduplicated(_texts(tables[2]).items())
-    assert _texts(tables[3]) == {i: t for (i, _), t in expected.items()}
+    assert _texts(tables[3]) == {i: t for (i, before), t in expected.items() if t == before or plain.words(t)}
     assert all(r.n_chars == len(r.text) for r in tables[3].collect())
 
 
