@@ -34,9 +34,11 @@ def language_id(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Deletes blocks of lines that an earlier document has; a text that loses all is empty."""
-    shorter = lines.dedup(docs)
-    return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Deletes blocks of lines that an earlier document has; documents that lose all their words so go."""
+    deleted = unused(docs, "_deleted")
+    shorter = lines.dedup(docs, counts=deleted)
+    left = shorter.where((F.col(deleted) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).drop(deleted)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark, docs, sf_dir):
