@@ -1,15 +1,18 @@
 """Line dedup by pairwise alignment.
 
-A line that several documents share ties each of them to the first one that has it: one pair for a
-document and a line, however many documents share it, never all pairs among them. The lines of both
-documents of a pair are aligned by patience diff, and the blocks found common are deleted from the
-later document. A document is aligned with every earlier one that it has such a line from, and what
-is left of it is aligned again until no block is found, so that moved blocks are found as well.
+A run of neighbouring lines that several documents share ties each of them to the first one that has
+it: one pair for a document and a run, however many documents share it, never all pairs among them.
+The runs are the shortest ones with the words of a block that begin or end at each line; every block
+is made of such runs, so each line of a block has a pair that holds it. The lines of both documents of
+a pair are aligned by patience diff, and the blocks found common are deleted from the later document.
+A document is aligned with every earlier one that it has such a run from, and what is left of it is
+aligned again until no block is found, so that moved blocks are found as well.
 """
 
 import bisect
 import itertools
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +20,12 @@ from pyspark.sql import types as T
 from edgeflow.llm.common import mapped, unused
 from edgeflow.plans import keep
 
-#: Words of a line that makes a pair, and of a common block that is deleted.
+#: Words of a longer line, and of a run that makes a pair and a common block that is deleted.
 PAIR_WORDS, BLOCK_WORDS = 5, 20
 _SPACES = " \t\n\x0b\f\r"
+# fixed values: the odd factor of the hash of a run, and its inverse
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
 def sequences(docs, id="doc_id", text="text"):
@@ -43,18 +49,48 @@ def sequences(docs, id="doc_id", text="text"):
     return rows.dropDuplicates(["doc"])
 
 
-def pairs(found, pair_words=PAIR_WORDS):
-    """(doc, first) – a document and an earlier one, `first`, the first that has one of its longer lines.
+def runs(words, least):
+    """(starts, ends) of the shortest runs of `least` words or more, first those that begin at each line, then those that end there."""
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    at = np.arange(len(words))
+    ends = np.searchsorted(total, total[:-1] + least)
+    starts = np.searchsorted(total, total[1:] - least, side="right") - 1
+    forth, back = ends < len(total), starts >= 0
+    return np.concatenate((at[forth], starts[back])), np.concatenate((ends[forth], at[back] + 1))
+
+
+def run_keys(hashes, starts, ends):
+    """A hash of each run: the hashes of its lines by powers of a factor, modulo 2^64."""
+    powers, inverse = (np.cumprod(np.full(len(hashes), f, np.uint64)) for f in (_FACTOR, _INVERSE))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * powers)))
+    return ((total[ends] - total[starts]) * inverse[starts]).view(np.int64)
+
+
+def _keyed(least):
+    def run(batches):
+        for batch in batches:
+            column = batch.column("lines")
+            h, n = (column.values.field(f).to_numpy() for f in ("h", "n"))
+            found = [
+                np.unique(run_keys(h[a:b], *runs(n[a:b], least))) for a, b in itertools.pairwise(column.offsets.to_pylist())
+            ]
+            docs = np.repeat(np.arange(len(found)), [len(keys) for keys in found])
+            keys = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(docs)), pa.array(keys)], names=["doc", "key"])
+
+    return run
+
+
+def pairs(found, block_words=BLOCK_WORDS):
+    """(doc, first) – a document and an earlier one, `first`, the first that has one of its runs of `block_words` words.
 
     Documents are in the order of id, then text hash; null ids come first.
     """
-    longer = F.filter("lines", lambda e: e["n"] >= pair_words)
-    keys = F.array_distinct(F.transform(longer, lambda e: F.struct(e["h"].alias("h"), e["n"].alias("n"))))
-    lines = found.select("doc", F.explode(keys).alias("line"))
-    shared = lines.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    # a table of its own: adaptive execution splits the documents of a hot line only where both sides are shuffled
-    shared = keep(shared.select("line", "first"), "lines-shared")
-    return lines.join(shared, "line").where("first < doc").select("doc", "first").distinct()
+    keys = mapped(found, _keyed(block_words), f"doc {found.schema['doc'].dataType.simpleString()}, key bigint")
+    shared = keys.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    # a table of its own: adaptive execution splits the documents of a hot run only where both sides are shuffled
+    shared = keep(shared.select("key", "first"), "lines-shared")
+    return keys.join(shared, "key").where("first < doc").select("doc", "first").distinct()
 
 
 def _rising(pairs_):
@@ -145,24 +181,24 @@ def _aligned(least):
     return run
 
 
-def deletions(docs, pair_words=PAIR_WORDS, block_words=BLOCK_WORDS, id="doc_id", text="text"):
+def deletions(docs, block_words=BLOCK_WORDS, id="doc_id", text="text"):
     """(doc, gone) – the places of the lines to delete from each document that loses any; see `sequences`."""
     found = keep(sequences(docs, id, text), "lines-sequences")
     theirs = found.select(F.col("doc").alias("first"), F.col("lines").alias("theirs"))
-    both = pairs(found, pair_words).join(theirs, "first").join(found, "doc").select("doc", "lines", "theirs")
+    both = pairs(found, block_words).join(theirs, "first").join(found, "doc").select("doc", "lines", "theirs")
     kind = found.schema["doc"].dataType.simpleString()
     aligned = mapped(both, _aligned(block_words), f"doc {kind}, gone array<int>")
     return aligned.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
-def dedup(docs, pair_words=PAIR_WORDS, block_words=BLOCK_WORDS, id="doc_id", text="text", counts=None):
+def dedup(docs, block_words=BLOCK_WORDS, id="doc_id", text="text", counts=None):
     """`docs` with the text of every row without the blocks that an earlier document has.
 
     Order: by id, then by a hash of the text, null ids first. Rows of equal id and text are one
     document and stay alike. A text that loses all its lines is empty; texts that lose none stay as
     they are, null ones too. `counts` names a column for the number of lines deleted.
     """
-    changes = deletions(docs, pair_words, block_words, id, text)
+    changes = deletions(docs, block_words, id, text)
     doc, gone = unused(docs, "_doc"), unused(docs, "_gone")
     body = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
     marked = docs.withColumn(doc, F.struct(F.col(id).alias("id"), body.alias("body")))

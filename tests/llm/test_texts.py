@@ -79,6 +79,54 @@ def test_line_dedup_of_edge_cases(edge, empty):
     assert lines.dedup(empty, counts="counts").collect() == []
 
 
+def _blocks(first, later, words, least):
+    """Places of all runs of `later` that `first` has as well, of `least` words or more, by trying all diagonals."""
+    gone = set()
+    for shift in range(-len(first), len(later)):
+        run = []
+        for j in range(max(0, shift), len(later) + 1):
+            if j < len(later) and 0 <= j - shift < len(first) and first[j - shift] == later[j]:
+                run.append(j)
+                continue
+            if sum(words[p] for p in run) >= least:
+                gone.update(run)
+            run = []
+    return gone
+
+
+def _against_all(rows, least=lines.BLOCK_WORDS):
+    """id → text of documents in order, without the blocks that any earlier one has."""
+    seen, found = [], {}
+    for i, text in sorted(rows):
+        own = plain.stripped(text)
+        body, gone = [line for _, line in own], set()
+        for other in seen:
+            if not set(body).isdisjoint(other):
+                gone |= {own[p][0] for p in _blocks(other, body, [len(line.split()) for line in body], least)}
+        seen.append(body)
+        found[i] = "\n".join(line for p, line in enumerate(text.split("\n")) if p not in gone)
+    return found
+
+
+def _line(name, words=8):
+    return " ".join(f"{name}w{j}" for j in range(words))
+
+
+def test_blocks_whose_lines_have_other_first_holders(spark):
+    shared = [_line(f"l{k}") for k in range(8)]
+    short = [f"s{k} of three" for k in range(9)]
+    rows = [(k, f"{_line(f'own{k}')}\n{line}\n{_line(f'end{k}')}") for k, line in enumerate(shared)]
+    rows += [(20 + k, "\n".join([_line(f"d{k}"), *shared, _line(f"e{k}")])) for k in range(3)]
+    rows += [(30 + k, "\n".join([_line(f"f{k}"), *short])) for k in range(2)]
+    found = {r.doc_id: r.text for r in lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[20] == dict(rows)[20] and found[21] == f"{_line('d1')}\n{_line('e1')}" and found[31] == _line("f1")
+    assert found == _against_all(rows)
+
+
+def test_line_dedup_against_every_earlier_document(documents, texts):
+    assert {r.doc_id: r.text for r in lines.dedup(documents).collect()} == _against_all(texts.items())
+
+
 # ---- search
 
 def _close(found, expected, k):
