@@ -6,7 +6,8 @@ The runs are the shortest ones with the words of a block that begin or end at ea
 is made of such runs, so each line of a block has a pair that holds it. The lines of both documents of
 a pair are aligned by patience diff, and the blocks found common are deleted from the later document.
 A document is aligned with every earlier one that it has such a run from, and what is left of it is
-aligned again until no block is found, so that moved blocks are found as well.
+aligned again until no block is found, so that moved blocks are found as well; blocks that a longer
+run of short common lines crosses are found by their runs.
 """
 
 import bisect
@@ -155,6 +156,14 @@ def common_blocks(first, later, words, least=BLOCK_WORDS):
             break
         deleted |= new
         left = [j for j in left if j not in new]
+    if set(first).isdisjoint(later[j] for j in left):
+        return sorted(deleted)
+    # matches of short lines can cross a block and hide it from every pass: its runs are looked up one by one
+    size = dict(zip(later, words))
+    held = {tuple(first[i:j]) for i, j in zip(*runs([size.get(x, least) for x in first], least))}
+    for i, j in zip(*(places.tolist() for places in runs(words, least))):
+        if tuple(later[i:j]) in held:
+            deleted.update(range(i, j))
     return sorted(deleted)
 
 

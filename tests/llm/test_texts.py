@@ -127,6 +127,18 @@ def test_line_dedup_against_every_earlier_document(documents, texts):
     assert {r.doc_id: r.text for r in lines.dedup(documents).collect()} == _against_all(texts.items())
 
 
+@given(small, small, st.lists(st.integers(1, 30), min_size=7, max_size=7), st.integers(1, 40))
+@settings(max_examples=500, deadline=None)
+def test_all_common_blocks_are_found(a, b, sizes, least):
+    words = [sizes[x] for x in b]
+    assert lines.common_blocks(a, b, words, least) == sorted(_blocks(a, b, words, least))
+
+
+def test_a_block_that_short_lines_cross():
+    first, later = ["s1", "x1", "s2", "x2", "P"], ["P", "s1", "y1", "s2", "y2"]
+    assert lines.common_blocks(first, later, [60, 5, 5, 5, 5]) == [0]
+
+
 # ---- search
 
 def _close(found, expected, k):
