@@ -5,7 +5,8 @@ sidebars, notices, adverts, forms, scripts, styles and reader comments hold is l
 gap of empty lines. The text lengths are summed over windows of a few lines. Between the point where
 the sums surge from zero and the one where they dive back to zero lies a passage; the passages in
 which a window reaches the threshold are the main text, short lines among them included; on a page with little
-text it is the longest passage.
+text it is the longest passage. An article element is a bonus only: a passage ends where it begins or ends,
+and all of its lines are taken as soon as one of its passages is.
 """
 
 import html
@@ -51,17 +52,17 @@ def marks(attributes):
 
 
 class _Reader:
-    """Lines of a page: [text, characters but spaces outside links, whether in an article element]."""
+    """Lines of a page: [text, characters but spaces outside links, number of the outermost article element or 0]."""
 
     def __init__(self):
         self.lines, self.text, self.linked = [], [], 0
         self.open, self.names = [], {}
-        self.chrome = self.content = self.links = 0
+        self.chrome = self.content = self.links = self.inside = self.articles = 0
 
     def end_line(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.content > 0])
+            self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.articles if self.inside else 0])
         self.text, self.linked = [], 0
 
     def start(self, name, attributes):
@@ -82,28 +83,40 @@ class _Reader:
         chrome = name in CHROME and not (name == "header" and self.content) or (
             name not in ("html", "body", "main") and not HINTS.isdisjoint(found)
         ) or "hidden" in attributes.split()
-        content = not chrome and (name in CONTENT or "articleBody" in attributes or "main" in found and name == "div")
+        article = not chrome and not self.chrome and (name == "article" or "articleBody" in attributes)
+        content = article or not chrome and (name in CONTENT or "main" in found and name == "div")
         if chrome and not self.chrome:
             self.end_line()
-            self.lines += [["", 0, False]] * WINDOW
-        self.open.append((name, chrome, content))
+            self.gap()
+        elif article and not self.inside:
+            self.end_line()
+            self.gap()
+            self.articles += 1
+        self.open.append((name, chrome, content, article))
         self.names[name] = self.names.get(name, 0) + 1
         self.chrome += chrome
         self.content += content
+        self.inside += article
         self.links += name == "a"
 
+    def gap(self):
+        self.lines += [["", 0, 0]] * WINDOW
+
     def close(self, name):
         if name not in INLINE:
             self.end_line()
         if not self.names.get(name):
             return
         while True:
-            last, chrome, content = self.open.pop()
+            last, chrome, content, article = self.open.pop()
             if chrome or content:
                 self.end_line()
             self.names[last] -= 1
             self.chrome -= chrome
             self.content -= content
+            self.inside -= article
+            if article and not self.inside:
+                self.gap()
             self.links -= last == "a"
             if last == name:
                 return
@@ -138,18 +151,6 @@ class _Reader:
         return self.lines
 
 
-def lines_of(page):
-    """[text, weight] of each line of a page, gaps as empty lines of weight 0.
-
-    Where the markup names an article, all lines in it weigh enough to surge and no other line has
-    weight. Elsewhere a line weighs its characters but spaces outside links.
-    """
-    lines = _Reader().read(page)
-    if any(line[0] and line[2] for line in lines):
-        return [[text, max(len(text), SURGE) if inside else 0] for text, _, inside in lines]
-    return [[text, weight] for text, weight, _ in lines]
-
-
 def passages(weights, window=WINDOW, surge=SURGE):
     """(start, end) of the passages between surge and dive points whose window sums reach `surge`; else of the heaviest one."""
     sums, total = [], 0
@@ -170,10 +171,16 @@ def passages(weights, window=WINDOW, surge=SURGE):
 
 def main_text(page):
     """Blocks of the main text of a page, in page order, joined by two line ends; empty if there is none."""
-    lines = lines_of(page)
-    return "\n\n".join(
-        text for start, end in passages([weight for _, weight in lines]) for text, weight in lines[start:end] if weight
-    )
+    lines = _Reader().read(page)
+    weights = [weight for _, weight, _ in lines]
+    found = passages(weights)
+    chosen = {i for start, end in found for i in range(start, end) if weights[i]}
+    if not any(sum(weights[i: i + WINDOW]) >= SURGE for i in chosen) and any(article for *_, article in lines):
+        # little text: that of the article elements
+        chosen, articles = set(), {article for *_, article in lines} - {0}
+    else:
+        articles = {lines[i][2] for i in chosen} - {0}
+    return "\n\n".join(text for i, (text, _, article) in enumerate(lines) if text and (i in chosen or article in articles))
 
 
 def extract(pages, id="page_id", url="url", html="html"):

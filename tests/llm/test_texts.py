@@ -264,6 +264,22 @@ def test_a_page_without_article_element_is_found_by_its_surge():
     assert pages.main_text(html).split("\n\n") == ["Home", "Intro.", LONG, LONG, "Out."]
 
 
+OTHER = ("Another paragraph of the text proper. " * 8).strip()
+
+
+@pytest.mark.parametrize("html, blocks", [
+    (f"<div class=post><p>{LONG}</p><p>{OTHER}</p></div><article><p>Teaser one</p></article><article><p>Teaser two</p></article>", [LONG, OTHER]),
+    (f"<article><p>{LONG}</p></article><div class=post><p>{OTHER}</p><p>End.</p></div>", [LONG, OTHER, "End."]),
+    (f"<p>Home</p><article><p>{LONG}</p><p><a>Wholly a link</a></p></article><p>(c) 2020</p>", [LONG, "Wholly a link"]),
+    ("<p>Some words of a site</p><article><p>Short.</p></article>", ["Short."]),
+    ("<article><p><a>Only a link</a></p></article>", ["Only a link"]),
+    (f"<main><header><h1>Title</h1></header><p>{LONG}</p></main>", ["Title", LONG]),
+    (f"<main><p>{LONG}</p></main><div class=post><p>{OTHER}</p></div>", [LONG, OTHER]),
+])
+def test_an_article_element_does_not_decide_alone(html, blocks):
+    assert pages.main_text(html) == "\n\n".join(blocks)
+
+
 def test_deep_and_broken_markup_takes_no_time():
     pages.main_text("<b><div>" * 50_000 + "x")
     pages.main_text("</p>" * 100_000 + "<p>" * 100_000)
