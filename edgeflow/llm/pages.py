@@ -36,6 +36,11 @@ HINTS = frozenset(
     " disqus reply replies discussion share sharing social related recommended newsletter subscribe signup login widget toolbar"
     " pagination pager complementary contentinfo search".split()
 )
+#: Words that make a token with a hint a state of the page, anywhere and at the end of the token.
+STATES = frozenset("has have no not non with without".split())
+ENDS = frozenset("open opened closed on off enabled disabled allowed page layout result results".split())
+#: Tokens that mark an article element itself as no part of the article.
+NO_ARTICLE = frozenset("comment comments reply ad ads advert advertisement".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -51,10 +56,26 @@ def marks(attributes):
     return {w.lower() for m in _MARKS.finditer(attributes) for w in _WORDS.findall(m[2] or m[3] or m[4] or "")}
 
 
+def hinted(attributes):
+    """Whether a token of class, id or role is a hint or begins or ends with one, and tells of no state of the page."""
+    for m in _MARKS.finditer(attributes):
+        for token in (m[2] or m[3] or m[4] or "").split():
+            words = [w.lower() for w in _WORDS.findall(token)]
+            if words and (words[0] in HINTS or words[-1] in HINTS) and words[-1] not in ENDS and STATES.isdisjoint(words):
+                return True
+    return False
+
+
+def _no_article(attributes):
+    return any(not NO_ARTICLE.isdisjoint((m[2] or m[3] or m[4] or "").lower().split()) for m in _MARKS.finditer(attributes))
+
+
 class _Reader:
     """Lines of a page: [text, characters but spaces outside links, number of the outermost article element or 0]."""
 
-    def __init__(self):
+    def __init__(self, plain=frozenset()):
+        # offsets of elements to read in spite of their hints; of open elements with hints; of those around articles
+        self.plain, self.hints, self.around = plain, [], set()
         self.lines, self.text, self.linked = [], [], 0
         self.open, self.names = [], {}
         self.chrome = self.content = self.links = self.inside = self.articles = 0
@@ -65,7 +86,7 @@ class _Reader:
             self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.articles if self.inside else 0])
         self.text, self.linked = [], 0
 
-    def start(self, name, attributes):
+    def start(self, name, attributes, at):
         if name == "br":
             self.text.append(" ")
             return
@@ -80,10 +101,14 @@ class _Reader:
         if name in VOID:
             return
         found = marks(attributes) if attributes and not attributes.isspace() else ()
-        chrome = name in CHROME and not (name == "header" and self.content) or (
-            name not in ("html", "body", "main") and not HINTS.isdisjoint(found)
-        ) or "hidden" in attributes.split()
-        article = not chrome and not self.chrome and (name == "article" or "articleBody" in attributes)
+        article = name == "article" or "articleBody" in attributes
+        chrome = name in CHROME and not (name == "header" and self.content) or "hidden" in attributes.split()
+        hint = False
+        if found and not chrome and name not in INLINE and name not in ("html", "body", "main") and at not in self.plain:
+            hint = chrome = _no_article(attributes) if article else not HINTS.isdisjoint(found) and hinted(attributes)
+        if article and not chrome and 0 < self.chrome == len(self.hints):
+            self.around.update(self.hints)
+        article = article and not chrome and not self.chrome
         content = article or not chrome and (name in CONTENT or "main" in found and name == "div")
         if chrome and not self.chrome:
             self.end_line()
@@ -92,11 +117,13 @@ class _Reader:
             self.end_line()
             self.gap()
             self.articles += 1
-        self.open.append((name, chrome, content, article))
+        self.open.append((name, chrome, content, article, hint))
         self.names[name] = self.names.get(name, 0) + 1
         self.chrome += chrome
         self.content += content
         self.inside += article
+        if hint:
+            self.hints.append(at)
         self.links += name == "a"
 
     def gap(self):
@@ -108,13 +135,15 @@ class _Reader:
         if not self.names.get(name):
             return
         while True:
-            last, chrome, content, article = self.open.pop()
+            last, chrome, content, article, hint = self.open.pop()
             if chrome or content:
                 self.end_line()
             self.names[last] -= 1
             self.chrome -= chrome
             self.content -= content
             self.inside -= article
+            if hint:
+                self.hints.pop()
             if article and not self.inside:
                 self.gap()
             self.links -= last == "a"
@@ -145,7 +174,7 @@ class _Reader:
                     end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(page, at)
                     at = end.end() if end else len(page)
             else:
-                self.start(name, found[3])
+                self.start(name, found[3], found.start())
         self.data(page[at:])
         self.end_line()
         return self.lines
@@ -170,17 +199,33 @@ def passages(weights, window=WINDOW, surge=SURGE):
 
 
 def main_text(page):
-    """Blocks of the main text of a page, in page order, joined by two line ends; empty if there is none."""
-    lines = _Reader().read(page)
+    """Blocks of the main text of a page, in page order, joined by two line ends; empty if there is none.
+
+    Elements with hints around article elements are read as well where these hold most of the text.
+    """
+    reader = _Reader()
+    text, surges = _chosen(reader.read(page))
+    if reader.around:
+        whole, _ = _chosen(_Reader(frozenset(reader.around)).read(page))
+        if not surges or len(whole) > 2 * len(text):
+            return whole
+    return text
+
+
+def _chosen(lines):
+    """The main text of the lines of a page, and whether a window of it reaches SURGE."""
     weights = [weight for _, weight, _ in lines]
     found = passages(weights)
     chosen = {i for start, end in found for i in range(start, end) if weights[i]}
-    if not any(sum(weights[i: i + WINDOW]) >= SURGE for i in chosen) and any(article for *_, article in lines):
+    surges = any(sum(weights[i: i + WINDOW]) >= SURGE for i in chosen)
+    if not surges and any(article for *_, article in lines):
         # little text: that of the article elements
         chosen, articles = set(), {article for *_, article in lines} - {0}
     else:
         articles = {lines[i][2] for i in chosen} - {0}
-    return "\n\n".join(text for i, (text, _, article) in enumerate(lines) if text and (i in chosen or article in articles))
+    return "\n\n".join(
+        text for i, (text, _, article) in enumerate(lines) if text and (i in chosen or article in articles)
+    ), surges
 
 
 def extract(pages, id="page_id", url="url", html="html"):

@@ -280,6 +280,20 @@ def test_an_article_element_does_not_decide_alone(html, blocks):
     assert pages.main_text(html) == "\n\n".join(blocks)
 
 
+@pytest.mark.parametrize("html, blocks", [
+    (f"<article class='post comments-open'><p>{LONG}</p></article>", [LONG]),
+    (f"<div class='content has-sidebar'><article><p>{LONG}</p></article><div class=sidebar>{OTHER}</div></div>", [LONG]),
+    (f"<div id='no-sidebar-layout'><p>{LONG}</p></div>", [LONG]),
+    (f"<div class='search-result-page'><p>{LONG}</p></div>", [LONG]),
+    (f"<article><p>{LONG} <span class='alert'>Kept</span> words <b class='notice'>here</b></p></article>", [f"{LONG} Kept words here"]),
+    (f"<p>{LONG}</p><div id=search><article><p>{LONG}</p><p>{OTHER}</p></article></div>", [LONG, LONG, OTHER]),
+    (f"<article><p>{LONG}</p></article><div id=comments><article class=comment><p>{OTHER * 3}</p></article></div>", [LONG]),
+    (f"<article><p>{LONG}</p></article><div class='site-footer'>{OTHER}</div><div class=adBox>{OTHER}</div>", [LONG]),
+])
+def test_hints_mark_whole_tokens_or_heads(html, blocks):
+    assert pages.main_text(html) == "\n\n".join(blocks)
+
+
 def test_deep_and_broken_markup_takes_no_time():
     pages.main_text("<b><div>" * 50_000 + "x")
     pages.main_text("</p>" * 100_000 + "<p>" * 100_000)
