@@ -2,7 +2,7 @@
 
 A page is read as lines: each block element of the markup starts one. What menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments hold is left out and leaves a
-gap of empty lines. The text lengths are summed over windows of a few lines. Between the point where
+gap of empty lines, unless the lines before and after belong to the element it lies in. The text lengths are summed over windows of a few lines. Between the point where
 the sums surge from zero and the one where they dive back to zero lies a passage; the passages in
 which a window reaches the threshold are the main text, short lines among them included; on a page with little
 text it is the longest passage. An article element is a bonus only: a passage ends where it begins or ends,
@@ -29,6 +29,7 @@ INLINE = frozenset(
 )
 CHROME = frozenset("nav footer aside form header menu dialog button head".split())
 CONTENT = frozenset("article main".split())
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th figure figcaption".split())
 #: Words in a class, id or role that mark an element as no part of the article.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar menu nav navbar navigation"
@@ -71,19 +72,23 @@ def _no_article(attributes):
 
 
 class _Reader:
-    """Lines of a page: [text, characters but spaces outside links, number of the outermost article element or 0]."""
+    """Lines of a page: [text, characters but spaces outside links, number of the outermost article element or 0, places].
+
+    The places of a line are the elements it belongs to: the nearest one around paragraphs, lists and
+    tables; of text right in such an element also the next one. An empty line has that of its chrome.
+    """
 
     def __init__(self, plain=frozenset()):
         # offsets of elements to read in spite of their hints; of open elements with hints; of those around articles
         self.plain, self.hints, self.around = plain, [], set()
         self.lines, self.text, self.linked = [], [], 0
         self.open, self.names = [], {}
-        self.chrome = self.content = self.links = self.inside = self.articles = 0
+        self.chrome = self.content = self.links = self.inside = self.articles = self.elements = 0
 
     def end_line(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.articles if self.inside else 0])
+            self.lines.append([text, max(0, len(text.replace(" ", "")) - self.linked), self.articles if self.inside else 0, self.places()])
         self.text, self.linked = [], 0
 
     def start(self, name, attributes, at):
@@ -112,12 +117,18 @@ class _Reader:
         content = article or not chrome and (name in CONTENT or "main" in found and name == "div")
         if chrome and not self.chrome:
             self.end_line()
-            self.gap()
+            self.gap(self.places()[:1])
         elif article and not self.inside:
             self.end_line()
             self.gap()
             self.articles += 1
-        self.open.append((name, chrome, content, article, hint))
+        place, around = self.places()
+        if name in TEXTUAL:
+            around = place
+        elif name not in INLINE:
+            self.elements += 1
+            place, around = self.elements, place
+        self.open.append((name, chrome, content, article, hint, (place, around)))
         self.names[name] = self.names.get(name, 0) + 1
         self.chrome += chrome
         self.content += content
@@ -126,8 +137,11 @@ class _Reader:
             self.hints.append(at)
         self.links += name == "a"
 
-    def gap(self):
-        self.lines += [["", 0, 0]] * WINDOW
+    def places(self):
+        return self.open[-1][-1] if self.open else (0, 0)
+
+    def gap(self, places=()):
+        self.lines += [["", 0, 0, places]] * WINDOW
 
     def close(self, name):
         if name not in INLINE:
@@ -135,7 +149,7 @@ class _Reader:
         if not self.names.get(name):
             return
         while True:
-            last, chrome, content, article, hint = self.open.pop()
+            last, chrome, content, article, hint, _ = self.open.pop()
             if chrome or content:
                 self.end_line()
             self.names[last] -= 1
@@ -180,6 +194,20 @@ class _Reader:
         return self.lines
 
 
+def joined(lines):
+    """The [text, weight, article] of lines, without the gaps that lie in an element both of their neighbours belong to."""
+    found, gaps, last = [], [], ()
+    for text, weight, article, places in lines:
+        if not text:
+            gaps.append(places)
+            continue
+        if not all(gap and gap[0] in last and gap[0] in places for gap in gaps):
+            found += [["", 0, 0]] * len(gaps)
+        gaps, last = [], places
+        found.append([text, weight, article])
+    return found
+
+
 def passages(weights, window=WINDOW, surge=SURGE):
     """(start, end) of the passages between surge and dive points whose window sums reach `surge`; else of the heaviest one."""
     sums, total = [], 0
@@ -214,9 +242,12 @@ def main_text(page):
 
 def _chosen(lines):
     """The main text of the lines of a page, and whether a window of it reaches SURGE."""
+    lines = joined(lines)
     weights = [weight for _, weight, _ in lines]
-    found = passages(weights)
-    chosen = {i for start, end in found for i in range(start, end) if weights[i]}
+    chosen = set()
+    for start, end in passages(weights):
+        # to the last line before the dive that has weight, those without among them
+        chosen.update(range(start, max(i for i in range(start, end) if weights[i]) + 1))
     surges = any(sum(weights[i: i + WINDOW]) >= SURGE for i in chosen)
     if not surges and any(article for *_, article in lines):
         # little text: that of the article elements

@@ -294,6 +294,19 @@ def test_hints_mark_whole_tokens_or_heads(html, blocks):
     assert pages.main_text(html) == "\n\n".join(blocks)
 
 
+END = "A closing passage of about seventy letters that ends the whole text."
+
+
+@pytest.mark.parametrize("html, blocks", [
+    (f"<div><p>{LONG}</p><div class=ad>Buy</div><p>{END}</p></div>", [LONG, END]),
+    (f"<div><ul><li>{LONG}</ul><div class=ad>Buy</div><form>Mail</form><div>{END}</div></div><div>(c) 2020</div>", [LONG, END, "(c) 2020"]),
+    (f"<div><p>{LONG}</p></div><div class=ad>Buy</div><div><p>{END}</p></div>", [LONG]),
+    (f"<div><p>{LONG}</p><p><a>Wholly a link</a></p><ul><li><a>An item</a></ul><p>{END}</p></div>", [LONG, "Wholly a link", "An item", END]),
+])
+def test_short_ends_and_linked_lines_stay(html, blocks):
+    assert pages.main_text(html) == "\n\n".join(blocks)
+
+
 def test_deep_and_broken_markup_takes_no_time():
     pages.main_text("<b><div>" * 50_000 + "x")
     pages.main_text("</p>" * 100_000 + "<p>" * 100_000)
