@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from edgeflow.llm import licences, lines, pages, rules, search
+from edgeflow.llm import licence_terms, licences, lines, pages, rules, search
 
 # ---- line dedup
 
@@ -231,6 +231,24 @@ def test_the_nearest_directory_counts(spark):
     }
 
 
+def test_whole_licences_are_inherited(spark):
+    prose = "nothing but prose of many words " * 40
+    # the words of each licence in full, as often as in its text
+    texts_ = {}
+    for licence, counts in licence_terms.WHOLE.items():
+        words = counts.split()
+        texts_[licence] = " ".join(f"{term} " * int(n) for term, n in zip(words[::2], words[1::2]))
+    files = [(f"{licence}/{name}", text) for licence, own in texts_.items() for name, text in (("LICENSE", own), ("src/x", prose))]
+    # the common words of a licence make no licence file
+    files.append(("z/y", f"the license of it. {'the of and to a or in that this you is for any ' * 30} {prose}"))
+    table = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id bigint, path string, text string")
+    found = {r.path: (r.licence, r.origin, r.origin_path) for r in licences.scan(table).collect()}
+    for licence in texts_:
+        assert found[f"{licence}/LICENSE"] == (licence, "file", None)
+        assert found[f"{licence}/src/x"] == (licence, "inherited", f"{licence}/LICENSE")
+    assert found["z/y"] == (None, "none", None)
+
+
 def test_licences_of_edge_cases(edge, empty):
     assert licences.scan(edge.withColumn("path", F.col("source"))).count() == len(EDGE)
     assert licences.scan(empty.withColumn("path", F.col("source"))).collect() == []
