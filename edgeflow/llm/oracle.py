@@ -123,3 +123,31 @@ idf AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op13_middle"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+           sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digits
+    FROM documents
+), draws AS (
+    SELECT *, len(lines) AS n, [('0x' || digits[8 * k + 1:8 * k + 8])::BIGINT FOR k IN range(4)] AS h FROM docs
+), cuts AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM draws
+), parts AS (
+    SELECT *, array_to_string(lines[1:low], '') AS prefix, array_to_string(lines[low + 1:high], '') AS middle,
+           array_to_string(lines[high + 1:], '') AS suffix
+    FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                        ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, licences, lines, packing, pages, quality, rules, search, simhash
+from edgeflow.llm import bpe, languages, licences, lines, middle, packing, pages, quality, rules, search, simhash
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -83,3 +83,8 @@ def op9_rules(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.with_checksum(packing.pack(table(spark, sf_dir, "documents"), vocabulary))
+
+
+@query
+def op13_middle(spark, sf_dir):
+    return middle.digests(middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50))
