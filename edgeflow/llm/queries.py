@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, licences, lines, middle, packing, pages, quality, rules, search, simhash
+from edgeflow.llm import bpe, languages, licences, lines, middle, packing, pages, quality, rules, search, simhash, whitening
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -85,6 +85,12 @@ def op10_packing(spark, sf_dir):
     return packing.with_checksum(packing.pack(table(spark, sf_dir, "documents"), vocabulary))
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), k=16, scale=64.0, shift=1_000_000)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 @query
 def op13_middle(spark, sf_dir):
     return middle.digests(middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50))
