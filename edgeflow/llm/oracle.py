@@ -151,3 +151,22 @@ SELECT doc_id, n::BIGINT AS n, form,
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+ORACLE["op12_embeddings"] = r"""
+WITH RECURSIVE rows AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), fine AS MATERIALIZED (
+    SELECT r, label, v FROM rows
+    WHERE label IS NOT NULL AND len(v) > 0 AND len([c FOR c IN v IF c IS NULL OR NOT isfinite(c)]) = 0
+      AND len([c FOR c IN v IF c <> 0]) > 0
+), links AS MATERIALIZED (
+    SELECT a.r AS a, b.r AS b FROM fine a JOIN fine b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(r, other) AS (
+    SELECT r, r FROM rows UNION SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.other
+), least AS (
+    SELECT reached.r, min(vec_id) AS component_id FROM reached JOIN rows ON rows.r = reached.other GROUP BY reached.r
+), counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least USING (r) LEFT JOIN counts USING (r)
+"""

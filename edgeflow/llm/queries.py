@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from edgeflow.llm import bpe, languages, licences, lines, middle, packing, pages, quality, rules, search, simhash, whitening
+from edgeflow.llm import (
+    bpe, embeddings, languages, licences, lines, middle, packing, pages, quality, rules, search, simhash, whitening,
+)
 from edgeflow.llm.common import fold, table
 
 #: Rows of this fold teach nothing; see `common.fold`.
@@ -91,6 +93,11 @@ def op11_whitening(spark, sf_dir):
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+@query
+def op12_embeddings(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op13_middle(spark, sf_dir):
     return middle.digests(middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50))
