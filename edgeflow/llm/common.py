@@ -57,6 +57,11 @@ def fold(doc_id, folds=4):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
+def let(value, use):
+    """use(value) with `value` worked out once for a row, though `use` has it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_bytes(text):
     """The UTF-8 bytes of a text column, null as empty."""
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")

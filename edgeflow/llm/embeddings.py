@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from edgeflow.functions import spread
-from edgeflow.llm.common import mapped
+from edgeflow.llm.common import let, mapped
 from edgeflow.llm.components import stars
 from edgeflow.plans import found_once, hot_keys, keep, partitions
 
@@ -49,9 +49,12 @@ GROUP = ["grp", "label", "d"]
 def unit(v):
     """A column of doubles as a vector of length one; divided by its largest entry first, so that no square overflows."""
     peak = F.array_max(F.transform(v, lambda c: F.abs(c)))
-    scaled = F.transform(v, lambda c: c / peak)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, c: total + c * c))
-    return F.transform(scaled, lambda c: c / norm)
+    scaled = let(peak, lambda p: F.transform(v, lambda c: c / p))
+    return let(scaled, lambda x: let(_length(x), lambda norm: F.transform(x, lambda c: c / norm)))
+
+
+def _length(v):
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda total, c: total + c * c))
 
 
 def comparable(label, v):
@@ -270,10 +273,10 @@ def _centres(members):
     """GROUP and `centre`, the mean direction of a group's unit vectors; any direction serves where they cancel out."""
     sums = members.select(*GROUP, F.posexplode("u").alias("place", "c")).groupBy(*GROUP, "place").agg(F.sum("c").alias("c"))
     listed = sums.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.struct("place", "c"))).alias("listed"))
-    norm = F.sqrt(F.aggregate("listed", F.lit(0.0), lambda total, e: total + e["c"] * e["c"]))
-    turned = F.transform("listed", lambda e: e["c"] / F.col("norm"))
+    summed = F.transform("listed", lambda e: e["c"])
     first = F.transform("listed", lambda e: F.when(e["place"] == 0, 1.0).otherwise(0.0))
-    return listed.withColumn("norm", norm).select(*GROUP, F.when(F.col("norm") > 1e-6, turned).otherwise(first).alias("centre"))
+    centre = let(_length(summed), lambda norm: F.when(norm > 1e-6, F.transform(summed, lambda c: c / norm)).otherwise(first))
+    return listed.select(*GROUP, centre.alias("centre"))
 
 
 def _ring_pairs(rings, plan):
