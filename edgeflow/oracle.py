@@ -3,7 +3,8 @@
 Loops are unrolled into common table expressions, one set per round.
 """
 
-from edgeflow.queries import DAMPING, K, MAX_ID, PR_ROUNDS, SOURCES
+from edgeflow.plans import HOT_KEYS
+from edgeflow.queries import DAMPING, K, MANY_SOURCES, MAX_ID, PR_ROUNDS, SOURCES
 from edgeflow.tables import EDGE_COLUMNS
 
 MAX_PASSES = 11
@@ -55,25 +56,68 @@ def _triangles(name, where=""):
     )
 
 
-def _adjacency(end, other):
+# fixed values: a prime modulus and a generator of its multiplicative group
+MODULUS, MULTIPLIER = 2147483647, 48271
+
+
+def _listed(rows):
+    """Rows (id, other, w, …) with the part of the list they belong to; long lists come in several parts."""
+    limit = f"greatest({MAX_LIST}, count(*) OVER () // {HOT_KEYS} + 1)"
+    mixed = f"(({MODULUS} + other % {MODULUS}) % {MODULUS} * {MULTIPLIER}) % {MODULUS}"
     return (
-        f"SELECT {end} AS id, 0 AS part, string_agg({other} || ':' || w, ',' ORDER BY {other}) AS nbrs "
-        f"FROM e GROUP BY {end} HAVING count(*) <= {MAX_LIST}"
+        f"listed AS MATERIALIZED (SELECT *, CASE WHEN n > most THEN {mixed} % ((n + most - 1) // most) ELSE 0 END::INT AS part "
+        f"FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n, {limit} AS most FROM ({rows})))"
+    )
+
+
+def _adjacency():
+    return _over(
+        "purchases", WEIGHTED, _listed("SELECT src AS id, dst AS other, w FROM e"),
+        "SELECT id, part, string_agg(other || ':' || w, ',' ORDER BY other) AS nbrs FROM listed GROUP BY id, part",
     )
 
 
-def _bfs(final, *expressions):
-    seeds = ", ".join(f"({s})" for s in SOURCES)
+def _in_out():
+    ends = "SELECT src AS id, dst AS other, w, true AS out FROM e UNION ALL SELECT dst, src, w, false FROM e"
+    lists = ", ".join(
+        f"coalesce(string_agg(other || ':' || w, ',' ORDER BY other) FILTER ({condition}), '') AS {name}"
+        for name, condition in (("ins", "NOT out"), ("outs", "out"))
+    )
+    return _over("purchases", WEIGHTED, _listed(ends), f"SELECT id, part, {lists} FROM listed GROUP BY id, part")
+
+
+def _hops(name, sources, final, *expressions, steps="SELECT DISTINCT src, dst FROM g"):
+    """Distances r(source, id, dist) from vertices that some edge touches; it ends where nothing is new."""
     return "WITH RECURSIVE " + ", ".join([
-        _edges("purchases"), VERTICES,
-        "d AS MATERIALIZED (SELECT DISTINCT src, dst FROM g)",
-        f"r(source, id, hops) AS (SELECT id, id, 0 FROM v WHERE id IN (SELECT * FROM (VALUES {seeds})) "
-        "UNION SELECT r.source, d.dst, r.hops + 1 FROM r JOIN d ON d.src = r.id WHERE r.hops < 64)",
-        "dist AS MATERIALIZED (SELECT source, id, min(hops) AS dist FROM r GROUP BY source, id)",
+        _edges(name), f"d AS MATERIALIZED ({steps})", "v AS MATERIALIZED (SELECT src AS id FROM d UNION SELECT dst FROM d)",
+        f"r(source, id, dist) USING KEY (source, id) AS (SELECT id, id, 0 FROM v WHERE {sources} "
+        "UNION SELECT r.source, d.dst, min(r.dist) + 1 FROM r JOIN d ON d.src = r.id "
+        "LEFT JOIN recurring.r AS o ON o.source = r.source AND o.id = d.dst WHERE o.id IS NULL GROUP BY r.source, d.dst)",
         *expressions,
     ]) + " " + final
 
 
+def _bfs(final):
+    sources = f"id IN ({', '.join(map(str, SOURCES))})"
+    return _hops("purchases", sources, final, "dist AS MATERIALIZED (SELECT source, id, dist FROM r)")
+
+
+def _many(final):
+    return _hops(
+        "purchases", f"id >= {MANY_SOURCES.start} AND id < {MANY_SOURCES.stop}", final,
+        "c AS MATERIALIZED (SELECT source, dist, count(*) AS n FROM r GROUP BY source, dist)",
+    )
+
+
+def _extent():
+    both = "SELECT src, dst FROM g WHERE src <> dst UNION SELECT dst, src FROM g WHERE src <> dst"
+    return _hops(
+        "supplies", "true",
+        "SELECT component, count(*) AS vertices, max(ecc) AS diameter, min(ecc) AS radius FROM e GROUP BY component",
+        "e AS (SELECT source, max(dist) AS ecc, min(id) AS component FROM r GROUP BY source)", steps=both,
+    )
+
+
 CHAIN = [
     "ids AS MATERIALIZED (SELECT p_partkey + 1 AS id FROM part)",
     "ch AS MATERIALIZED (SELECT id AS src, CASE WHEN id % 3 = 0 THEN 0 ELSE id + 1 END AS dst FROM ids)",
@@ -237,13 +281,8 @@ def oracle_sql():
         ),
         "distinct_sources": _over("purchases", "SELECT DISTINCT src AS id FROM g"),
         "expand_neighbours": _first_hop(),
-        "adjacency_lists": _over("purchases", WEIGHTED, _adjacency("src", "dst")),
-        "in_out_neighbour_lists": _over(
-            "purchases", WEIGHTED, VERTICES,
-            f"i AS ({_adjacency('dst', 'src')})", f"o AS ({_adjacency('src', 'dst')})",
-            "SELECT v.id, 0 AS part, coalesce(i.nbrs, '') AS ins, coalesce(o.nbrs, '') AS outs "
-            "FROM v LEFT JOIN i ON i.id = v.id LEFT JOIN o ON o.id = v.id",
-        ),
+        "adjacency_lists": _adjacency(),
+        "in_out_neighbour_lists": _in_out(),
         "follower_count": _over("purchases", COUNTS, "SELECT id, n FROM c"),
         "follower_count_grouped": _over("purchases", COUNTS, "SELECT id, n FROM c"),
         "follower_count_all": _over(
@@ -306,6 +345,15 @@ def oracle_sql():
             "SELECT source, min(id) AS id, dist FROM dist d WHERE dist = "
             "(SELECT max(dist) FROM dist m WHERE m.source = d.source) GROUP BY source, dist"
         ),
+        "many_source_distances": _many("SELECT source, id, dist FROM r"),
+        "neighbourhood_sizes": _many("SELECT source, dist, n FROM c"),
+        "closeness_centrality": _many(
+            "SELECT source, CAST(coalesce(sum(n) FILTER (WHERE dist > 0), 0) AS BIGINT) AS reached, "
+            "CAST(coalesce(sum(n * dist), 0) AS BIGINT) AS farness, "
+            "coalesce(sum(n) FILTER (WHERE dist > 0) / nullif(sum(n * dist), 0)::DOUBLE, 0.0::DOUBLE) AS closeness "
+            "FROM c GROUP BY source"
+        ),
+        "exact_extent": _extent(),
         "kmeans_seeds": _over("purchases", COUNTS, SEEDS, "SELECT centroid FROM k1"),
         "kmeans_assign": _over(
             "purchases", COUNTS, SEEDS,

@@ -12,6 +12,7 @@ from edgeflow.schema import exact
 from edgeflow.tables import chain_ids, graph, nodes
 
 SOURCES = [2, 3]
+MANY_SOURCES = range(200)
 MAX_ID = 1000
 K = 4
 PR_ROUNDS = 10
@@ -373,6 +374,33 @@ def farthest_vertex(spark, sf_dir):
     return ef.farthest_vertex(_distances(spark, sf_dir))
 
 
+# Searches from many sources, and what bounds of eccentricities tell.
+
+
+def _many(spark, sf_dir):
+    return ef.many_searches(purchases(spark, sf_dir), MANY_SOURCES)
+
+
+@query
+def many_source_distances(spark, sf_dir):
+    return _many(spark, sf_dir).distances()
+
+
+@query
+def neighbourhood_sizes(spark, sf_dir):
+    return _many(spark, sf_dir).hop_counts()
+
+
+@query
+def closeness_centrality(spark, sf_dir):
+    return ef.closeness(_many(spark, sf_dir).hop_counts())
+
+
+@query
+def exact_extent(spark, sf_dir):
+    return ef.exact_extent(supplies(spark, sf_dir)).by_component()
+
+
 # K-means over follower counts.
 
 
