@@ -10,7 +10,8 @@ from edgeflow.operators.paths import (
     bfs_distances, bfs_distances_wide, diameter_estimate, eccentricity, farthest_vertex,
 )
 from edgeflow.operators.rank import (
-    chain_pagerank, last_round, pagerank, rank_contributions, rank_trace, top_k, with_default_zero,
+    chain_pagerank, last_round, pagerank, pagerank_residual, rank_contributions, rank_trace, top_k,
+    with_default_zero,
 )
 from edgeflow.operators.searches import closeness, exact_extent, many_searches
 from edgeflow.operators.triangles import (
@@ -24,7 +25,7 @@ __all__ = [
     "eccentricity", "edge_endpoints", "exact_extent", "expand_neighbours", "farthest_vertex",
     "filter_max_id", "follower_count", "follower_count_all", "in_out_degrees",
     "in_out_neighbour_lists", "kmeans_1d", "kmeans_assign", "kmeans_seeds", "last_round", "many_searches",
-    "pagerank", "pass_stats", "rank_contributions", "rank_trace", "reverse_edges",
+    "pagerank", "pagerank_residual", "pass_stats", "rank_contributions", "rank_trace", "reverse_edges",
     "send_state", "successor_lookup", "top_k", "triangle_count", "triangle_rows",
     "two_path_cardinality", "two_paths", "vertices", "weighted", "with_default_zero",
 ]

@@ -97,6 +97,69 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
     return rounds.all().select("id", "pr", "round")
 
 
+class ResidualRanks:
+    """`ranks` (id, pr), and what each round found: `trace`, a list of (round, active vertices, rank not yet given out)."""
+
+    def __init__(self, ranks, trace):
+        self.ranks, self.trace = ranks, trace
+
+
+def pagerank_residual(G, damping=0.85, tolerance=1e-6, restart=None, max_rounds=None, slice_rows=SLICE_ROWS):
+    """PageRank to a tolerance: the sum of all errors of the ranks is at most `tolerance`. `ResidualRanks`.
+
+    Walks start anew, with the probability 1 − damping, at the vertices `restart` (ids; those that no edge
+    touches do not count) or at any vertex. Every vertex holds rank and residual, what came in and was not
+    given on. Only active vertices, whose residual is above an equal share of what may be left, take theirs into their rank
+    and send the damped part on; that of vertices without out-edges goes where walks start. The
+    residuals sum up to (1 − damping) times the error, so the loop ends on a proven bound, or after
+    `max_rounds` without one.
+    """
+    if not 0 <= damping < 1:
+        raise ValueError("damping is at least 0 and below 1")
+    spark = G.sparkSession
+    out = follower_count_all(reverse_edges(G), G.select(F.col("dst").alias("id")))
+    points = settled(out.withColumnRenamed("n", "n_out"), "id")
+    hot = found_once(hot_keys(points.select("id", F.col("n_out").alias("n")), slice_rows))
+    edges = settled(weighted(G), "src", hot, "dst")
+    rounds = Rounds(spark, "residual-rank", "id bigint, n_out bigint, home double, pr double, residual double")
+    try:
+        starts = F.lit(True) if restart is None else F.col("id").isin(*restart)
+        n, homes = points.agg(F.count(F.lit(1)), F.count_if(starts)).first()
+        if n and not homes:
+            raise ValueError("no restart vertex has an edge")
+        home = F.when(starts, 1.0 / max(homes, 1)).otherwise(0.0)
+        first = points.select("id", "n_out", home.alias("home"), F.lit(0.0).alias("pr"))
+        current, number, trace = rounds.write(0, first.withColumn("residual", F.col("home") * (1.0 - damping))), 0, []
+        left = tolerance * (1.0 - damping)
+        active = F.col("residual") > left / max(n, 1)
+        while True:
+            stuck = F.sum(F.when(active & (F.col("n_out") == 0), F.col("residual")))
+            counted = current.agg(F.count_if(active), F.coalesce(F.sum("residual"), F.lit(0.0)), F.coalesce(stuck, F.lit(0.0)))
+            senders, residual, lost = counted.first()
+            trace.append((number, senders, residual))
+            if residual <= left or not senders or number == max_rounds:
+                return ResidualRanks(current.select("id", "pr"), trace)
+            number += 1
+            share = (F.col("residual") * damping / F.col("n_out")).alias("share")
+            sent = current.where(active & (F.col("n_out") > 0)).select(F.col("id").alias("src"), share)
+            received = (
+                edges.join(slice_copies(sent, "src", hot), slice_keys("src", hot))
+                .groupBy(F.col("dst").alias("id"))
+                .agg(F.sum(F.col("w") * F.col("share")).alias("got"))
+            )
+            kept = F.when(active, 0.0).otherwise(F.col("residual"))
+            taken = F.when(active, F.col("residual")).otherwise(0.0)
+            current = rounds.write(number, current.join(received, "id", "left").select(
+                "id", "n_out", "home", (F.col("pr") + taken).alias("pr"),
+                (kept + F.coalesce("got", F.lit(0.0)) + F.col("home") * (damping * lost)).alias("residual"),
+            ))
+    finally:
+        edges.unpersist()
+        points.unpersist()
+        if hot is not None:
+            hot.unpersist()
+
+
 def last_round(ranks, iters):
     return ranks.where(F.col("round") == iters).select("id", "pr")
 

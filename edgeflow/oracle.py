@@ -4,7 +4,9 @@ Loops are unrolled into common table expressions, one set per round.
 """
 
 from edgeflow.plans import HOT_KEYS
-from edgeflow.queries import DAMPING, K, MANY_SOURCES, MAX_ID, PR_ROUNDS, SOURCES
+from edgeflow.queries import (
+    DAMPING, K, MANY_SOURCES, MAX_ID, PR_ROUNDS, RESTART, RESTART_DAMPING, SOURCES,
+)
 from edgeflow.tables import EDGE_COLUMNS
 
 MAX_PASSES = 11
@@ -158,6 +160,28 @@ def _pagerank(name, damping):
     return _over(name, *rounds, f"SELECT id, {_grid('pr', 'pr')} FROM p{PR_ROUNDS}")
 
 
+def _restarted(name):
+    """Power iteration until the damped part has no digits left."""
+    rounds = [
+        WEIGHTED, VERTICES,
+        "o AS MATERIALIZED (SELECT v.id, coalesce(s.n, 0) AS n_out FROM v LEFT JOIN "
+        "(SELECT src, count(*) AS n FROM g GROUP BY src) s ON s.src = v.id)",
+        f"h AS MATERIALIZED (SELECT id, n_out, CASE WHEN id IN ({', '.join(map(str, RESTART))}) THEN 1.0::DOUBLE / "
+        f"(SELECT count(*) FROM v WHERE id IN ({', '.join(map(str, RESTART))})) ELSE 0.0 END AS home FROM o)",
+        "p0 AS MATERIALIZED (SELECT id, n_out, home, home AS pr FROM h)",
+    ]
+    last = 32
+    for i in range(1, last + 1):
+        rounds += [
+            f"c{i} AS MATERIALIZED (SELECT e.dst AS id, sum(e.w * p.pr / p.n_out) AS pr "
+            f"FROM e JOIN p{i - 1} p ON p.id = e.src GROUP BY e.dst)",
+            f"p{i} AS MATERIALIZED (SELECT h.id, h.n_out, h.home, (1.0::DOUBLE - {RESTART_DAMPING}) * h.home + "
+            f"{RESTART_DAMPING}::DOUBLE * (coalesce(c.pr, 0.0) + h.home * coalesce("
+            f"(SELECT sum(pr) FROM p{i - 1} WHERE n_out = 0), 0.0)) AS pr FROM h LEFT JOIN c{i} c ON c.id = h.id)",
+        ]
+    return _over(name, *rounds, f"SELECT id, {_grid('pr', 'pr', 18)} FROM p{last}")
+
+
 SEEDS = (
     f"k1 AS MATERIALIZED (SELECT DISTINCT lo + (hi - lo) * i // {K - 1} AS centroid FROM "
     f"(SELECT min(n) AS lo, max(n) AS hi FROM c), range({K}) t(i))"
@@ -334,6 +358,7 @@ def oracle_sql():
         ),
         "pagerank_edges": _pagerank("purchases", 1.0),
         "pagerank_edges_damped": _pagerank("supplies", DAMPING),
+        "pagerank_residual": _restarted("supplies"),
         "bfs_distances": _bfs("SELECT source, id, dist FROM dist"),
         "bfs_distances_wide": _bfs(
             f"SELECT id, {distances} FROM "

@@ -13,6 +13,7 @@ from edgeflow.tables import chain_ids, graph, nodes
 
 SOURCES = [2, 3]
 MANY_SOURCES = range(200)
+RESTART, RESTART_DAMPING, TOLERANCE = [0, 1, 2, 3], 0.3, 1e-9
 MAX_ID = 1000
 K = 4
 PR_ROUNDS = 10
@@ -341,6 +342,12 @@ def pagerank_edges_damped(spark, sf_dir):
     return on_grid(ef.last_round(ranks, PR_ROUNDS), "pr")
 
 
+@query
+def pagerank_residual(spark, sf_dir):
+    found = ef.pagerank_residual(supplies(spark, sf_dir), RESTART_DAMPING, TOLERANCE, RESTART)
+    return on_grid(found.ranks, "pr", 18)
+
+
 # Hop distances.
 
 
