@@ -1,10 +1,11 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-from edgeflow.llm import licences
+from edgeflow.llm import licences, rules
 
 ORACLE = {}
 
-ORACLE["op9_rules"] = r"""
+def rules_sql(share=rules.MAX_SHARE, least=rules.LEAST_DOCUMENTS, left=rules.LEAST_LEFT):
+    return rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -18,12 +19,16 @@ WITH docs AS (
     FROM (SELECT r, unnest(range(i, i + 5)) AS place FROM (
         SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n >= 2)
     GROUP BY r
-), lines AS (
-    SELECT r, source, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS line, body
-    FROM (SELECT r, source, unnest(lines) AS line, array_to_string([
-        trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) FOR l IN lines], chr(10)) AS body FROM docs)
-), frequent AS (
-    SELECT source, line FROM lines GROUP BY source, line HAVING count(DISTINCT body) > 100
+), bodies AS (
+    SELECT r, source, [trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) FOR l IN lines] AS lines,
+           array_to_string(lines, chr(10)) AS body
+    FROM docs
+), lines AS (SELECT r, source, unnest(lines) AS line, body FROM bodies),
+hosts AS (SELECT source, count(DISTINCT body) AS documents FROM bodies GROUP BY source),
+frequent AS (
+    SELECT l.source, line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+    GROUP BY l.source, line
+    HAVING count(DISTINCT body) > {least} AND count(DISTINCT body) > any_value(documents) * {share}::DOUBLE
 ), removed AS (
     SELECT r, sum(len(string_split(line, ' '))) AS n
     FROM lines JOIN frequent USING (line) WHERE lines.source IS NOT DISTINCT FROM frequent.source GROUP BY r
@@ -38,11 +43,14 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        words_left::BIGINT AS words_left,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 0.3 * n_words AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= {left}::DOUBLE * n_words AS kept
 FROM measured
 """
 
 
+ORACLE["op9_rules"] = rules_sql()
+
+
 def _licences():
     idf, other, vectors = licences.weights()
     terms = ", ".join(f"('{term}', {value!r}::DOUBLE)" for term, value in sorted(idf.items()))

@@ -1,7 +1,8 @@
 """Line dedup, search, quality rules, licences and pages."""
 
 
-from cases import EDGE, documents, edge, empty, texts  # noqa: F401
+from cases import EDGE, SF, documents, edge, empty, texts  # noqa: F401
+from check import compare, connect
 import plain
 import pytest
 from hypothesis import given, settings
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from edgeflow.llm import licence_terms, licences, lines, pages, rules, search
+from edgeflow.llm.oracle import rules_sql
 
 # ---- line dedup
 
@@ -199,10 +201,33 @@ def test_frequent_lines_deplete_documents(spark):
     rows += [(200 + i, f"{line}\n{line}\n{line}\nshort tail {i}", None) for i in range(5)]
     rows += [(300 + i, f"{own('c')}\n{own('d')}", "copies") for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    kept = {r.doc_id: r.kept for r in rules.judge(docs, max_documents=10, most_repeated=100).collect()}
+    kept = {r.doc_id: r.kept for r in rules.judge(docs, most_repeated=100).collect()}
     assert not any(kept[i] for i in range(12)) and all(kept[i] for i in kept if i >= 100)
 
 
+@pytest.mark.parametrize("documents", [40, 400])
+def test_the_limit_goes_with_the_host(spark, documents):
+    """The same share of a host has the same verdict at either size; copies of documents change neither."""
+    own = lambda i: " ".join(f"own{i}word{j}" for j in range(12))
+    common, rarer = "a line of boiler plate on very many of the pages " * 5, "some other line on a few of the pages here " * 5
+
+    def text(i):
+        return f"{own(i)}\n" + (common if 100 * i < 30 * documents else rarer if 100 * i >= 92 * documents else own(-i - 1))
+
+    rows = [(i, text(i), "host") for i in range(documents)] + [(5_000 + i, text(documents - 1), "host") for i in range(200)]
+    kept = {r.doc_id: (r.kept, r.n_words - r.words_left > 0) for r in rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), most_repeated=100).collect()}
+    assert all(kept[i] == (100 * i >= 30 * documents, 100 * i < 30 * documents) for i in range(documents))
+    assert all(kept[5_000 + i] == (True, False) for i in range(200))
+
+
+def test_rules_equal_their_sql_where_documents_are_depleted(spark):
+    sf_dir, limits = SF, {"max_share": 0.02, "least_documents": 2}
+    found = rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), least_left=0.9, **limits)
+    sql = rules_sql(limits["max_share"], limits["least_documents"], 0.9)
+    assert compare(found, connect(sf_dir), sql) is None
+    assert found.where("NOT kept AND NOT base_failed").count() > 0
+
+
 # ---- licences
 
 def test_templates_match_themselves(spark):
