@@ -276,7 +276,8 @@ def _centres(members):
     summed = F.transform("listed", lambda e: e["c"])
     first = F.transform("listed", lambda e: F.when(e["place"] == 0, 1.0).otherwise(0.0))
     centre = let(_length(summed), lambda norm: F.when(norm > 1e-6, F.transform(summed, lambda c: c / norm)).otherwise(first))
-    return listed.select(*GROUP, centre.alias("centre"))
+    # written, as are the other aggregates that hot groups meet: both sides of the join are shuffled and can be split
+    return keep(listed.select(*GROUP, centre.alias("centre")), "embeddings-centres")
 
 
 def _ring_pairs(rings, plan):
@@ -298,7 +299,8 @@ def _sure(pairs):
     )
     # whatever ring links with one at all links with the innermost one
     both = nearer.unionByName(farther).groupBy(*GROUP, "ring")
-    return both.agg(F.sum("weight").alias("weight"), F.min(F.struct("other", "root"))["root"].alias("root"))
+    made = both.agg(F.sum("weight").alias("weight"), F.min(F.struct("other", "root"))["root"].alias("root"))
+    return keep(made, "embeddings-sure")
 
 
 def _compared(threshold):
@@ -423,7 +425,7 @@ def near_duplicates(
         ),
         "embeddings-known",
     )
-    components = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    components = keep(known.groupBy("root").agg(F.min("least").alias("component_id")), "embeddings-least")
     of = known.join(components, "root").select("label", "v", "n_links", "component_id")
     # an exact copy that very many rows share makes a skewed partition, which adaptive execution splits
     linked = given.where(fine).join(of, ["label", "v"]).select("vec_id", "n_links", "component_id")
