@@ -22,8 +22,8 @@ from edgeflow.llm.common import mapped, slices, text_bytes, unused
 
 WINDOW = 128
 EMBEDDED, STATES = 8, 8
-#: Documents of a language, windows of a document, and languages that the network learns from at most.
-PER_LANGUAGE, PER_DOCUMENT, LANGUAGES = 600, 3, 64
+#: Documents of a language and windows of a document that the network learns from at most.
+PER_LANGUAGE, PER_DOCUMENT = 600, 3
 STEPS, BATCH, RATE, SEED = 400, 128, 0.02, 20
 #: Bytes of a window that the network learns from.
 LEARNED = 64
@@ -222,27 +222,27 @@ def pooled(network, texts):
 def sample(docs, learnable, per_language=PER_LANGUAGE, id="doc_id", text="text", language="lang"):
     """Names, byte windows, position weights and language numbers from at most `per_language` documents each.
 
-    Of more than LANGUAGES languages the most frequent count. Rows with a null language, id or text are
-    left out. Only PER_DOCUMENT windows of a chosen document leave its task.
+    Every language counts, however many there are. Rows with a null language, id or text are left out.
+    Only PER_DOCUMENT windows of a chosen document leave its task.
     """
     rows = docs.where(learnable).select(
         F.col(id).alias("id"), F.col(language).cast("string").alias("language"), F.col(text).cast("string").alias("text")
     ).where("id IS NOT NULL AND language IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("language").count().collect()  # one row for each output of the network
     names = sorted(r["language"] for r in sizes)
     # every language keeps about twice what is needed by a threshold of its own, then the first ones
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
-    within = F.lit(False)
-    for r in sizes:
-        limit = min(1.0, 2 * per_language / r["count"])
-        within = within | ((F.col("language") == r["language"]) & (place < int(limit * (1 << 40))))
+    limits = docs.sparkSession.createDataFrame(
+        [(r["language"], int(min(1.0, 2 * per_language / r["count"]) * (1 << 40))) for r in sizes],
+        "language string, most bigint",
+    )
     last = F.greatest(F.length("text") - LEARNED, F.lit(0)) + 1
     pieces = F.transform(
         F.sequence(F.lit(1), F.lit(PER_DOCUMENT)),
         lambda i: F.substring("text", (F.pmod(F.xxhash64("id", i), last) + 1).cast("int"), F.lit(LEARNED)),
     )
     found = (
-        rows.where(within).select("language", place.alias("place"), pieces.alias("pieces"))
+        rows.join(F.broadcast(limits), "language").where(place < F.col("most")).select("language", place.alias("place"), pieces.alias("pieces"))
         .orderBy("place", "language").limit(4 * per_language * len(sizes)).collect() if sizes else []
     )
     used, windows, labels = dict.fromkeys(names, 0), [], []
@@ -261,10 +261,10 @@ def label(docs, network, text="text", names=("lang_pred", "score")):
     """`docs` with the language of every whole text and its probability as columns `names`.
 
     Null and empty texts, those without a letter and all texts of a network without languages are `und`
-    with probability 0. A tie goes to the first name. A clash of the new names is an error.
+    with probability 0. A tie goes to the first name. A new name that `docs` has already, in capitals or
+    not, is lengthened (`score_1`, …); the two are the last columns in any case.
     """
-    if {*names} & {*docs.columns}:
-        raise ValueError(f"the table has a column of {names} already")
+    names = tuple(unused(docs, name) for name in names)
     shared, given = docs.sparkSession.sparkContext.broadcast(network), unused(docs, "_bytes")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]

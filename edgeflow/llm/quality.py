@@ -189,14 +189,15 @@ def sample(docs, labels, learnable, max_rows=MAX_ROWS, id="doc_id", text="text")
     """Sparse vectors of at most `max_rows` labelled documents (id, label), in a fixed order.
 
     Only ids for which the column `learnable` of the labels holds. Labels are 0 or 1, others are left
-    out; of several labels of an id the least counts, of several texts each one.
+    out; of several labels of an id the least counts, of several texts each one. Where ids repeat and their
+    rows are more than `max_rows`, the first in the order count.
     """
     chosen = (
         labels.where(learnable & F.col("label").isin(0, 1) & F.col(id).isNotNull())
         .groupBy(id).agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64(id), id).limit(max_rows)
     )
-    # no more than max_rows rows of two numbers
+    # the broadcast has no more than max_rows rows of two numbers
     rows = docs.select(F.col(id), text_bytes(F.col(text)).alias("text")).join(F.broadcast(chosen), id)
 
     def run(batches):
@@ -215,18 +216,17 @@ def sample(docs, labels, learnable, max_rows=MAX_ROWS, id="doc_id", text="text")
         rows.select(id, F.col("label").cast("int").alias("label"), "text"), run,
         f"id {kind}, label int, places binary, vals binary",
     )
-    order = found.orderBy(F.xxhash64("id"), "id", F.xxhash64("places", "vals")).collect()
+    order = found.orderBy(F.xxhash64("id"), "id", F.xxhash64("places", "vals")).limit(max_rows).collect()
     return [(np.frombuffer(r.places, "<i4"), np.frombuffer(r.vals, "<f4").astype(float), r.label) for r in order]
 
 
 def score(docs, weights, text="text", name="score"):
     """`docs` and the column `name`, the probability of label 1 of every whole text.
 
-    Null and empty texts and those without words get the probability of the constant feature alone. The
-    column keeps its name whatever the others are called: a clash is an error, see `common.unused`.
+    Null and empty texts and those without words get the probability of the constant feature alone. A
+    name that `docs` has already, in capitals or not, is lengthened (`score_1`, …); the column is the last.
     """
-    if name in docs.columns:
-        raise ValueError(f"the table has a column {name} already")
+    name = unused(docs, name)
     spark, given = docs.sparkSession, unused(docs, "_bytes")
     shared = spark.sparkContext.broadcast(weights.astype(np.float32))
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])

@@ -49,9 +49,8 @@ def test_languages_of_held_out_documents(documents, network):
     assert np.mean(right) >= 0.95 and all(0 <= r.score <= 1 for r in found)
 
 
-def test_clash_is_an_error_and_another_name_is_fine(edge, empty, network):
-    with pytest.raises(ValueError):
-        languages.label(edge, network)
+def test_a_clashing_name_is_lengthened_and_another_name_is_fine(edge, empty, network):
+    assert languages.label(edge, network).columns == [*edge.columns, "lang_pred", "score_1"]
     names = ("language_", "sure_")
     found = languages.label(edge, network, names=names)
     assert found.columns == [*edge.columns, *names] and found.count() == len(EDGE)
@@ -98,8 +97,7 @@ def test_shapes():
 
 
 def test_quality_of_edge_cases(spark, edge, empty, labels):
-    with pytest.raises(ValueError):
-        quality.classify(edge, labels)
+    assert quality.classify(edge, labels).columns == [*edge.columns, "score_1"]
     found = quality.classify(edge, labels, name="score_")
     assert found.columns == [*edge.columns, "score_"] and found.count() == len(EDGE)
     assert quality.classify(empty, labels, name="score_").collect() == []
@@ -115,3 +113,30 @@ def test_the_learned_sample_is_bounded_and_in_a_fixed_order(documents, labels):
     a = quality.sample(documents, given, learnable(), max_rows=20)
     b = quality.sample(documents.repartition(7), given.repartition(3), learnable(), max_rows=20)
     assert len(a) <= 20 and all((x[0] == y[0]).all() and x[2] == y[2] for x, y in zip(a, b))
+
+
+def test_every_language_is_learned(spark):
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows = [
+        (k * 10 + i, f"{alphabet[k % 26]}{alphabet[k // 26]} " * 20, f"l{k:02d}") for k in range(70) for i in range(2)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, windows, weights, numbers = languages.sample(docs, F.lit(True))
+    assert names == [f"l{k:02d}" for k in range(70)] and set(numbers.tolist()) == set(range(70))
+
+
+def test_repeated_ids_do_not_pass_the_bound_on_rows(spark):
+    rows = [(i % 4, f"text number {i} of many words") for i in range(300)] + [(0, "text number 0 of many words")] * 200
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    given = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id bigint, label int")
+    assert len(quality.sample(docs, given, F.lit(True), max_rows=20)) == 20
+    assert len(quality.sample(docs, given, F.lit(True), max_rows=1)) == 1
+    assert len(quality.sample(docs, given, F.lit(True), max_rows=1_000)) == 500
+
+
+def test_names_that_clash_are_lengthened(spark):
+    docs = spark.createDataFrame([(1, "some words", 2, "x")], "doc_id bigint, text string, Score int, LANG_PRED string")
+    scored = quality.score(docs, np.zeros(quality.CONSTANT + 1))
+    assert scored.columns == [*docs.columns, "score_1"] and scored.first().score_1 == 0.5
+    found = languages.label(docs, languages.Network([]))
+    assert found.columns == [*docs.columns, "lang_pred_1", "score_1"] and found.first().lang_pred_1 == "und"
