@@ -350,7 +350,104 @@ def test_short_ends_and_linked_lines_stay(html, blocks):
     assert pages.main_text(html) == "\n\n".join(blocks)
 
 
+TEXTS = (
+    "elementor-widget related-work discussion-paper social-science share-price notice-period menu-item-description ad-hoc"
+    " comments-open no-comments has-sidebar content-sidebar-wrap search-result-page"
+).split()
+CHROME = (
+    "user-comments-box wpd-comment-text comments-page comment-with-avatar commentlist responses comment-7 ad ad-slot adBox"
+    " google-ads sidebar td-sidebar site-footer related-posts social_links cookie-notice newsletter-signup main-menu alert-info"
+).split()
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_names_that_hold_a_hint_are_text(name):
+    part = f"<div class='{name}'><p>{OTHER}</p></div>"
+    assert pages.main_text(part) == OTHER
+    assert pages.main_text(f"<div id=a><p>{LONG}</p>{part}</div>") == f"{LONG}\n\n{OTHER}"
+    assert pages.main_text(f"<article><p>{LONG}</p>{part}</article>") == f"{LONG}\n\n{OTHER}"
+
+
+@pytest.mark.parametrize("name", CHROME)
+def test_names_that_are_hints_are_left_out(name):
+    part = f"<div class='x {name}'><p>{OTHER * 3}</p><article><p>{OTHER}</p></article></div>"
+    if name in CHROME[:10]:
+        assert pages.main_text(f"<article><p>{LONG}</p></article>{part}") == LONG
+        assert pages.main_text(part) == ""
+    part = f"<div class='x {name}'><p>{OTHER * 3}</p></div>"
+    assert pages.main_text(f"<div><p>{LONG}</p>{part}</div>") == LONG
+    assert pages.main_text(f"<article><p>{LONG}</p>{part}</article>") == LONG
+
+
+@pytest.mark.parametrize("html, blocks", [
+    (f"<form id=aspnetForm><input type=hidden><div><input name=q></div><article><p>{LONG}</p></article></form>", [LONG]),
+    (f"<form id=aspnetForm><input type=hidden><div><input name=q></div><p>{LONG}</p><p>{OTHER}</p></form>", [LONG, OTHER]),
+    (f"<form><nav>Menu</nav><p>{LONG}</p></form><p>(c) 2020</p>", [LONG, "(c) 2020"]),
+    (f"<p>{LONG}</p><form><p>{END}</p><label>Your very long name and address</label><input><textarea>x</textarea></form>", [LONG]),
+    (f"<p>{LONG}</p><form><p>Search</p><input><button>Go</button></form><p>{OTHER}</p>", [LONG, OTHER]),
+    (f"<p>{LONG}</p><form>Never closed <input>", [LONG]),
+    (f"<form class=search><p>{LONG}</p></form><div class=main><p>{OTHER}</p></div>", [OTHER]),
+    (f"<p>{LONG} where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <object data=a.svg>a figure</object> stand.</p>",
+     [f"{LONG} where x=1 and a figure stand."]),
+    (f"<div class=widget><p>{LONG}</p></div>", [LONG]),
+    (f"<article><p>{LONG}</p></article><ol class=commentlist><li><article class=comment-body>{OTHER * 3}</article></ol>", [LONG]),
+])
+def test_forms_and_pages_within_hints(html, blocks):
+    assert pages.main_text(html) == "\n\n".join(blocks)
+
+
+def _passages(weights, window, surge):
+    """Passages by the definition: runs of places whose window, of the places up to it, holds any weight."""
+    sums = [sum(weights[max(0, i - window + 1): i + 1]) for i in range(len(weights))]
+    runs, start = [], 0
+    for end in range(1, len(sums) + 1):
+        if end == len(sums) or (sums[end] > 0) != (sums[start] > 0):
+            runs += [(start, end)] if sums[start] else []
+            start = end
+    high = [run for run in runs if any(total >= surge for total in sums[run[0]: run[1]])]
+    most = max((sum(weights[a:b]) for a, b in runs), default=0)
+    return high or [run for run in runs if sum(weights[run[0]: run[1]]) == most][-1:]
+
+
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 5, 40, 90]), max_size=30), st.integers(1, 4), st.sampled_from([1, 60, 86]))
+@settings(max_examples=500, deadline=None)
+def test_passages_against_their_definition(weights, window, surge):
+    assert pages.passages(weights, window, surge) == _passages(weights, window, surge)
+
+
+@given(st.lists(st.sampled_from([0, 0, 0, 0, 4, 30, 50, 90]), max_size=24))
+@settings(max_examples=500, deadline=None)
+def test_lines_between_surge_and_dive_are_the_text(sizes):
+    text = [f"{'x' * (size - 1)}." if size else f"<a>{i}</a>" for i, size in enumerate(sizes)]
+    expected = []
+    for start, end in _passages(sizes, pages.WINDOW, pages.SURGE):
+        last = max(i for i in range(start, end) if sizes[i])
+        expected += [text[i].removeprefix("<a>").removesuffix("</a>") for i in range(start, last + 1)]
+    assert pages.main_text("".join(f"<div>{t}</div>" for t in text)) == "\n\n".join(expected)
+
+
+words = st.integers(30, 60).flatmap(lambda n: st.integers(0, 999).map(lambda k: " ".join(f"t{k}n{j}" for j in range(n))))
+chrome = st.sampled_from([
+    "<form action=x><p>Join us and get our letter each week</p><label>Mail <input type=email></label><button>Go</button></form>",
+    "<div class='comments-area'><h3>2 comments</h3><div class='user-comment'><p>" + "I do not agree at all. " * 20 + "</p></div></div>",
+    "<nav><a href=x>Menu</a></nav>", "<div class='ad-slot'>Buy this</div>", "<aside><p>" + "By the way. " * 20 + "</p></aside>",
+    "<script>var p = '<p>no</p>'</script>", "<div id=cookie-banner>" + "We use cookies here. " * 9 + "</div>",
+])
+
+
+@given(st.lists(words, min_size=1, max_size=6), st.lists(chrome, min_size=7, max_size=7), st.sampled_from(["div", "article", "form", "main", "section"]))
+@settings(max_examples=300, deadline=None)
+def test_pages_of_texts_and_chrome_give_their_texts(texts_, between, around):
+    inner = "".join(f"{part}<p>{text}</p>" for part, text in zip(between, [*texts_, ""]) if text)
+    if around == "form":
+        inner = inner.replace("<form", "<div class=newsletter><span").replace("</form>", "</span></div>")
+        inner = f"<input type=hidden><nav>Top</nav>{inner}"
+    page = f"<html><body>{between[-1]}<{around} id=it>{inner}</{around}>{between[-1]}</body></html>"
+    assert pages.main_text(page).split("\n\n") == texts_
+
+
 def test_deep_and_broken_markup_takes_no_time():
+    pages.main_text("<form>" * 100_000 + "<div class=widget>" * 50_000 + "x")
     pages.main_text("<b><div>" * 50_000 + "x")
     pages.main_text("</p>" * 100_000 + "<p>" * 100_000)
     pages.main_text("<" * 100_000 + "<a href='" * 1000)
