@@ -57,6 +57,11 @@ TEMPLATES = [
      " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
      " materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors"
      " may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"
+     " provided that the following conditions are met: Redistributions of source code must retain the above copyright"
+     " notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the"
+     " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+     " materials provided with the distribution."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
      " granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -74,8 +79,8 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to"
      " this work. CC0 1.0 Universal Public Domain Dedication."),
 ]
-# fixed value: what the AGPL-3.0 has more often than the GPL-3.0, about; its text was not at hand
-AFFERO = {"affero": 13, "network": 6, "server": 4, "remote": 1, "remotely": 1, "interaction": 1}
+# fixed value: the licence that has nearly the words of another in full, and is told from it by the notice in its appendix
+LIKE, TWIN = "GPL-3.0", "AGPL-3.0"
 #: Texts without any of these words hold no licence.
 NAMED = r"(?i)licen[cs]|copyright|permission|redistribut|public domain|free software"
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"
@@ -100,7 +105,6 @@ def full_weights(idf, other):
     for licence, text in WHOLE.items():
         words = text.split()
         counted.append((licence, Counter(dict(zip(words[::2], map(int, words[1::2]))))))
-    counted.append(("AGPL-3.0", dict(counted)["GPL-3.0"] + Counter(AFFERO)))
     vectors = []
     for licence, counts in counted:
         vector = {term: n * idf.get(term, other) for term, n in counts.items()}
@@ -188,7 +192,7 @@ def scan(files, id="doc_id", path="path", text="text", notice=NOTICE, file=FILE,
 
     `origin` is `file` for a licence file (the cosine of the whole text reaches `full` with a licence in
     full, or `file` with a notice or opening), `notice` for a line or paragraph that reaches `notice`, `inherited` from the licence file `origin_path` in the
-    nearest directory above, or `none`. The best cosine counts; a tie takes the last name. Of several
+    nearest directory above, or `none`. A text like LIKE in full whose best notice is of TWIN is TWIN. The best cosine counts; a tie takes the last name. Of several
     licence files in a directory the best counts, then the last name and path. Null and empty texts
     have no licence of their own; a null path inherits nothing. Other columns are not read.
     """
@@ -197,11 +201,13 @@ def scan(files, id="doc_id", path="path", text="text", notice=NOTICE, file=FILE,
     struct = F.struct("score", "licence")
     in_full = F.struct(F.col("full_score").alias("score"), F.col("full_licence").alias("licence"))
     own = best.groupBy("row").agg(
-        F.max(F.when(F.col("whole"), F.greatest(
-            F.when(F.col("score") >= file, struct), F.when(F.col("full_score") >= full, in_full)
-        ))).alias("as_file"),
+        F.max(F.when(F.col("whole") & (F.col("score") >= file), struct)).alias("short"),
+        F.max(F.when(F.col("whole") & (F.col("full_score") >= full), in_full)).alias("in_full"),
         F.max(F.when(~F.col("whole") & (F.col("score") >= notice), struct)).alias("as_notice"),
     )
+    twin = (F.col("in_full.licence") == LIKE) & (F.col("as_notice.licence") == TWIN)
+    named = F.struct(F.col("in_full.score").alias("score"), F.lit(TWIN).alias("licence"))
+    own = own.select("row", F.greatest("short", F.when(twin, named).otherwise(F.col("in_full"))).alias("as_file"), "as_notice")
     rows = keep(
         written.select("row", "id", "path", directory(F.col("path")).alias("folder")).join(own, "row", "left"),
         "licences-own",

@@ -58,9 +58,13 @@ def _licences():
         f"({k}, '{licence}', '{term}', {value!r}::DOUBLE)"
         for k, (licence, vector) in enumerate(vectors) for term, value in sorted(vector.items())
     )
+    whole = " UNION ALL ".join(
+        f"SELECT '{licence}', unnest({sorted(vector)!r}), unnest({[vector[term] for term in sorted(vector)]!r}::DOUBLE[])"
+        for licence, vector in licences.full_weights(idf, other)
+    )
     return rf"""
 WITH terms(term, idf) AS (VALUES {terms}), weights(k, licence, term, w) AS (VALUES {weights}),
-templates AS (SELECT DISTINCT k, licence FROM weights),
+templates AS (SELECT DISTINCT k, licence FROM weights), in_full(licence, term, w) AS ({whole}),
 docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
            concat_ws('/', source, lang, (floor(doc_id / 1000)::BIGINT)::VARCHAR, doc_id::VARCHAR) AS path
@@ -85,10 +89,25 @@ parts AS (
 ), scores AS (
     SELECT r, whole, licence, round(coalesce(dot, 0) / norm, {licences.PLACES}) AS score
     FROM units JOIN norms USING (u) CROSS JOIN templates LEFT JOIN dots USING (u, k)
+), fulls AS (
+    SELECT r, licence, round(sum(n * coalesce(idf, {other!r}::DOUBLE) * w) / any_value(norm), {licences.PLACES}) AS score
+    FROM units JOIN norms USING (u) JOIN counted USING (u) JOIN in_full USING (term) LEFT JOIN terms USING (term)
+    WHERE whole GROUP BY u, r, licence
+), best_notice AS (
+    SELECT r, score, licence, row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS place
+    FROM scores WHERE NOT whole AND score >= {licences.NOTICE!r}
+), best_full AS (
+    SELECT r, score, licence, row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS place
+    FROM fulls WHERE score >= {licences.FULL!r}
+), as_file AS (
+    SELECT r, score, licence FROM scores WHERE whole AND score >= {licences.FILE!r}
+    UNION ALL
+    SELECT f.r, f.score, CASE WHEN f.licence = '{licences.LIKE}' AND n.licence = '{licences.TWIN}' THEN n.licence ELSE f.licence END
+    FROM best_full f LEFT JOIN best_notice n ON n.r = f.r AND n.place = 1 WHERE f.place = 1
 ), own AS (
-    SELECT r, CASE WHEN whole THEN 'file' ELSE 'notice' END AS origin, score, licence,
-           row_number() OVER (PARTITION BY r ORDER BY whole DESC, score DESC, licence DESC) AS place
-    FROM scores WHERE score >= CASE WHEN whole THEN {licences.FILE!r} ELSE {licences.NOTICE!r} END
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY origin, score DESC, licence DESC) AS place FROM (
+        SELECT r, 'file' AS origin, score, licence FROM as_file
+        UNION ALL SELECT r, 'notice', score, licence FROM best_notice WHERE place = 1)
 ), mine AS (SELECT * FROM own WHERE place = 1),
 licensed AS (
     SELECT folder, score, licence, path, row_number() OVER (

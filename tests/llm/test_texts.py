@@ -1,5 +1,6 @@
 """Line dedup, search, quality rules, licences and pages."""
 
+from pathlib import Path
 
 from cases import EDGE, SF, documents, edge, empty, texts  # noqa: F401
 from check import compare, connect
@@ -10,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from edgeflow.llm import licence_terms, licences, lines, pages, rules, search
-from edgeflow.llm.oracle import rules_sql
+from edgeflow.llm.oracle import ORACLE, rules_sql
+from edgeflow.llm.queries import QUERIES
 
 # ---- line dedup
 
@@ -274,6 +276,44 @@ def test_whole_licences_are_inherited(spark):
     assert found["z/y"] == (None, "none", None)
 
 
+NAMES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0",
+    "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+def _licence_files():
+    """Licence → text of the files in the system's folder, and of two made from them."""
+    folder = Path("/usr/share/common-licenses")
+    if not all((folder / name).is_file() for name in NAMES):
+        pytest.skip("no licence files here")
+    found = {licence: (folder / name).read_text(errors="replace") for name, licence in NAMES.items()}
+    bsd = found["BSD-3-Clause"]
+    found["BSD-2-Clause"] = bsd[: bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE"):]
+    affero = found["GPL-3.0"].replace("the terms of the GNU General", "the terms of the GNU Affero General")
+    assert affero != found["GPL-3.0"]
+    return found | {"AGPL-3.0": affero}
+
+
+def test_licence_files_and_their_sql(spark, tmp_path):
+    prose = "nothing but prose of many words " * 40
+    rows = []
+    for k, (licence, text) in enumerate(_licence_files().items()):
+        # a folder of the query is a source, a language and a thousand
+        rows += [(1000 * k, text, "en", "s"), (1000 * k + 1, prose, "en", "s"), (1000 * k + 2, f"{prose}\nReleased under the MIT License.", "en", "s")]
+    rows += [(99_000, prose, "en", "s"), (99_001, None, "en", "s"), (99_002, prose, None, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    table.coalesce(1).toPandas().to_parquet(tmp_path / "documents.parquet")
+    found = QUERIES["op2_licences"](spark, str(tmp_path))
+    by_id = {r.doc_id: (r.licence, r.origin) for r in found.collect()}
+    for k, licence in enumerate(_licence_files()):
+        assert by_id[1000 * k] == (licence, "file") and by_id[1000 * k + 1] == (licence, "inherited")
+        assert by_id[1000 * k + 2] == ("MIT", "notice")
+    assert by_id[99_000] == by_id[99_001] == (None, "none")
+    assert compare(found, connect(tmp_path), ORACLE["op2_licences"]) is None
+
+
 def test_licences_of_edge_cases(edge, empty):
     assert licences.scan(edge.withColumn("path", F.col("source"))).count() == len(EDGE)
     assert licences.scan(empty.withColumn("path", F.col("source"))).collect() == []
