@@ -10,10 +10,10 @@ each block. Blocks are read in falling order of the bound, and those whose bound
 best score found so far are never read: no document in them can be among the best. Shards are asked in
 waves, each several times as large as all before it and with the k-th best score found before as the
 least, so that a query gets a few times k documents from a wave, however many shards there are. The k
-best of all are merged exactly. Queries are sent to the shards in blocks of a bounded number.
+best of all are merged exactly. Every row of the queries has a number of its own; they are sent to the shards in
+blocks of a bounded number and, on average, a bounded number of terms. What all blocks and waves find is one table.
 """
 
-import functools
 import re
 
 import numpy as np
@@ -24,14 +24,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from edgeflow.llm.common import mapped, slices, text_bytes
-from edgeflow.plans import keep
+from edgeflow.plans import Rounds, keep
 
 #: Constants of BM25.
 K1, B = 1.2, 0.75
 #: Postings of a shard, documents of a block, and the part of a shard's documents that have a frequent term.
 SHARD_POSTINGS, BLOCK, FREQUENT = 1_000_000, 64, 8
-#: Queries sent to the shards at a time.
-QUERIES = 2_000
+#: Queries sent to the shards at a time, and their terms.
+QUERIES, QUERY_TERMS = 2_000, 2_000_000
 #: Shards of the first wave on average, and how many times as many the waves reach each time.
 FIRST_WAVE, GROWTH = 4, 8
 #: Queries that a shard answers together.
@@ -227,13 +227,13 @@ class Shard:
 
 
 def _search(block, reached, k, mean_length):
-    """Function of batches of shards that gives (number of the query in the block, id, score).
+    """Function of batches of shards that gives (number of the query, id, score).
 
-    `reached`: the least score of each query that can still be among its best.
+    `block`: the numbers of its queries, and their terms and weights. `reached`: the least score of each query that can still be among its best.
     """
 
     def run(batches):
-        queries = block.value
+        names, queries = block.value
         found = [np.empty(0)] * len(queries)  # the best scores that this task has seen
         for batch in batches:
             for row in range(batch.num_rows):
@@ -254,7 +254,7 @@ def _search(block, reached, k, mean_length):
                         scores.append(score)
                 ids = column["ids"].values.take(pa.array(np.concatenate(places), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(numbers), pa.int32()), ids, pa.array(np.concatenate(scores))],
+                    [pa.array(names[np.concatenate(numbers)]), ids, pa.array(np.concatenate(scores))],
                     names=["number", "doc_id", "score"],
                 )
 
@@ -277,10 +277,10 @@ def weighted(queries, shards, documents):
 def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="text", query_id="doc_id"):
     """(query_id, rank, doc_id, score): the `k` best rows of `docs` for every row of `queries`, exactly.
 
-    The terms of a query are those of its whole text, each as often as it occurs. Scores are rounded to
-    PLACES; equal ones rank by id, null ids first. A document without a term of the query is no result, so null
-    and empty texts give none and are none. Of several queries with one id the least text counts, and
-    queries without an id are left out.
+    The terms of a query are those of its whole text, each as often as it occurs; very long texts are asked whole.
+    Scores are rounded to PLACES; equal ones rank by id, null ids first. A document without a term of the query is no
+    result, so null and empty texts give none and are none. Each of several queries with one id is
+    answered by itself, with ranks of its own; queries without an id are left out.
     """
     spark = docs.sparkSession
     shards = keep(index(docs, id=id, text=text), "search-index")
@@ -288,45 +288,41 @@ def top_k(docs, queries, k=10, queries_at_a_time=QUERIES, id="doc_id", text="tex
     total = shards.agg(
         F.count(F.lit(1)).alias("shards"), F.sum(F.size("ids")).alias("n"), F.sum(words).alias("words")
     ).first()
-    kind = docs.schema[id].dataType.simpleString()
-    asked = queries.where(F.col(query_id).isNotNull()).groupBy(F.col(query_id).alias("id")).agg(F.min(text).alias("text"))
-    asked = keep(weighted(terms(asked, "id", "text"), shards, float(total["n"] or 0)), "search-queries")
-    blocks = -(-asked.count() // queries_at_a_time)
-    found = []
-    for number in range(blocks):
+    given = queries.where(F.col(query_id).isNotNull())
+    # numbers are of the written rows, the same whenever a task runs again
+    given = keep(terms(given, query_id, text), "search-terms").withColumn(
+        "id", F.struct(F.monotonically_increasing_id().alias("number"), F.col("id").alias("query_id"))
+    )
+    asked = keep(weighted(given, shards, float(total["n"] or 0)).select("id.*", "terms", "weights"), "search-queries")
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("terms")).first()
+    blocks = max(-(-size["n"] // queries_at_a_time), -(-(size["terms"] or 0) // QUERY_TERMS))
+    kinds = [asked.schema["query_id"].dataType.simpleString(), docs.schema[id].dataType.simpleString()]
+    found = Rounds(spark, "search-found", f"number bigint, doc_id {kinds[1]}, score double")
+    written = 0
+    for block in range(blocks):
         # queries_at_a_time of them on average, whatever the size of the tables
-        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toArrow().sort_by("id").combine_chunks()
+        rows = asked.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == block).toArrow().sort_by("number").combine_chunks()
+        numbers = rows.column("number").to_numpy()
         weights = [
             tuple(value.values.to_numpy() for value in pair) for pair in zip(rows.column("terms"), rows.column("weights"))
         ]
-        block = spark.sparkContext.broadcast(weights)
-        names = spark.createDataFrame(list(enumerate(rows.column("id").to_pylist())), f"number int, query_id {_kind(asked)}")
-        own, reached, low, high = [], np.full(len(weights), -np.inf), 0.0, FIRST_WAVE / max(total["shards"], 1)
+        sent = spark.sparkContext.broadcast((numbers, weights))
+        first, reached, low, high = written, np.full(len(weights), -np.inf), 0.0, FIRST_WAVE / max(total["shards"], 1)
         while low < 1 and weights:
             wave = shards.where((F.col("place") >= low) & (F.col("place") < high))
-            run = _search(block, reached, k, total["words"] / max(total["n"], 1))
-            own.append(keep(mapped(wave, run, f"number int, doc_id {kind}, score double"), "search-found"))
-            low, high = high, high * GROWTH
+            run = _search(sent, reached, k, total["words"] / max(total["n"], 1))
+            found.write(written, mapped(wave, run, found.schema))
+            low, high, written = high, high * GROWTH, written + 1
             if low < 1:
                 # one number for each query of the block
-                scores = _union(own).groupBy("number").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
+                scores = found.read(*range(first, written)).groupBy("number").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
                 for row in scores.select("number", F.get("s", F.lit(k - 1)).alias("least")).where("least IS NOT NULL").collect():
-                    reached[row["number"]] = row["least"]
-        block.unpersist()
-        # no more than queries_at_a_time names
-        found += [part.join(F.broadcast(names), "number").drop("number") for part in own]
-    if not found:
-        empty = f"query_id {_kind(asked)}, rank int, doc_id {docs.schema[id].dataType.simpleString()}, score double"
-        return spark.createDataFrame([], empty)
-    ranked = _union(found).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id")))
+                    reached[np.searchsorted(numbers, row["number"])] = row["least"]
+        sent.unpersist()
+    if not written:
+        return spark.createDataFrame([], f"query_id {kinds[0]}, rank int, doc_id {kinds[1]}, score double")
+    ranked = found.all().withColumn(
+        "rank", F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), F.asc("doc_id")))
     )
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
-
-
-def _union(tables):
-    return functools.reduce(lambda a, b: a.unionByName(b), tables)
-
-
-def _kind(asked):
-    return asked.schema["id"].dataType.simpleString()
+    met = ranked.where(F.col("rank") <= k).join(asked.select("number", "query_id"), "number")
+    return met.select("query_id", "rank", "doc_id", "score")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from edgeflow.llm import licence_terms, licences, lines, pages, rules, search
 from edgeflow.llm.oracle import ORACLE, rules_sql
 from edgeflow.llm.queries import QUERIES
+from edgeflow.plans import plan_text
 
 # ---- line dedup
 
@@ -165,6 +166,22 @@ def test_search_against_brute_force(documents, texts, monkeypatch, k, postings):
     _close(found, plain.bm25(texts, {i: t for i, t in texts.items() if i % 20 == 0}, k), k)
 
 
+def test_queries_of_one_id_are_answered_each(spark):
+    docs = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(20)], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(7, "w3"), (7, "w10 w10"), (7, "w3"), (7, None), (8, "w19"), (None, "w5")], "doc_id bigint, text string")
+    found = search.top_k(docs, asked, queries_at_a_time=2).collect()
+    assert sorted((r.query_id, r.rank, r.doc_id) for r in found) == sorted(
+        [(7, 1, 2), (7, 2, 3)] * 2 + [(7, 1, 9), (7, 2, 10), (8, 1, 18), (8, 2, 19)]
+    )
+
+
+def test_the_plan_of_a_search_is_the_same_for_any_number_of_blocks(documents):
+    asked = documents.where("doc_id % 40 = 0").limit(5)
+    plans = [plan_text(search.top_k(documents, asked, k=3, queries_at_a_time=n)) for n in (100, 1)]
+    few, many = ([plan.count(x) for x in ("Join", "Exchange", "Scan parquet", "Union")] for plan in plans)
+    assert few == many and few[0] > 0
+
+
 def test_ties_go_to_the_smaller_id(spark):
     docs = spark.createDataFrame([(i, "same text here" if i % 2 else f"other {i}") for i in range(200)], "doc_id bigint, text string")
     found = search.top_k(docs, docs.where("doc_id = 151"), k=5).orderBy("rank").collect()
