@@ -3,11 +3,11 @@
 A run of neighbouring lines that several documents share ties each of them to the first one that has
 it: one pair for a document and a run, however many documents share it, never all pairs among them.
 The runs are the shortest ones with the words of a block that begin or end at each line; every block
-is made of such runs, so each line of a block has a pair that holds it. The lines of both documents of
-a pair are aligned by patience diff, and the blocks found common are deleted from the later document.
-A document is aligned with every earlier one that it has such a run from, and what is left of it is
-aligned again until no block is found, so that moved blocks are found as well; blocks that a longer
-run of short common lines crosses are found by their runs.
+is made of such runs, so each line of a block has a pair that holds it. A document is aligned with every
+earlier one that it has such a run from. Patience diff aligns the runs of both documents, anchored at
+the rare ones: those that occur once in each. A match of runs is a common block by itself, so shorter
+common lines are no anchors and cannot hide one; its lines are deleted from the later document. What is
+left is aligned again until nothing matches, so that moved blocks are found as well.
 """
 
 import bisect
@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from edgeflow.llm.common import mapped, unused
 from edgeflow.plans import keep
 
-#: Words of a longer line, and of a run that makes a pair and a common block that is deleted.
-PAIR_WORDS, BLOCK_WORDS = 5, 20
+#: Words of a run that makes a pair, and of a common block that is deleted.
+BLOCK_WORDS = 20
 _SPACES = " \t\n\x0b\f\r"
 # fixed values: the odd factor of the hash of a run, and its inverse
 _FACTOR = 0x9E3779B97F4A7C15
@@ -139,31 +139,24 @@ def patience(a, b):
     return sorted(found)
 
 
+def _sequence(lines, words, least):
+    """(run, start, end) of the shortest runs of `least` words or more, in the order of their places."""
+    places = set(zip(*(p.tolist() for p in runs(words, least))))
+    return [(tuple(lines[i:j]), i, j) for i, j in sorted(places)]
+
+
 def common_blocks(first, later, words, least=BLOCK_WORDS):
     """Places in `later` of blocks it shares with `first`: runs that are neighbours in both, of `least` words or more."""
-    deleted, left = set(), list(range(len(later)))
-    while left:
-        matched = patience(first, [later[j] for j in left])
-        block, new = [], set()
-        for k, (i, j) in enumerate(matched):
-            block.append(left[j])
-            after = matched[k + 1] if k + 1 < len(matched) else None
-            if after is None or after[0] != i + 1 or left[after[1]] != left[j] + 1:
-                if sum(words[p] for p in block) >= least:
-                    new.update(block)
-                block = []
-        if not new:
-            break
-        deleted |= new
-        left = [j for j in left if j not in new]
-    if set(first).isdisjoint(later[j] for j in left):
-        return sorted(deleted)
-    # matches of short lines can cross a block and hide it from every pass: its runs are looked up one by one
     size = dict(zip(later, words))
-    held = {tuple(first[i:j]) for i, j in zip(*runs([size.get(x, least) for x in first], least))}
-    for i, j in zip(*(places.tolist() for places in runs(words, least))):
-        if tuple(later[i:j]) in held:
-            deleted.update(range(i, j))
+    # a line that `later` lacks is in no common run, whatever its words
+    theirs = [run for run, _, _ in _sequence(first, [size.get(x, least) for x in first], least)]
+    mine, deleted = _sequence(later, words, least), set()
+    while matched := patience(theirs, [run for run, _, _ in mine]):
+        held = {theirs[i] for i, _ in matched}
+        for run, i, j in mine:
+            if run in held:
+                deleted.update(range(i, j))
+        theirs, mine = [run for run in theirs if run not in held], [m for m in mine if m[0] not in held]
     return sorted(deleted)
 
 

@@ -4,7 +4,7 @@ from cases import SF, documents, edge, empty, labels, learnable  # noqa: F401
 import corpus_pipeline
 import plain
 import pytest
-from test_texts import _deduplicated
+from test_texts import _against_all
 from test_tokens import _check
 
 from edgeflow.llm import languages, packing, quality
@@ -46,8 +46,9 @@ def test_language_stage(tables):
 
 
 def test_line_stage(tables):
-    expected = _deduplicated(_texts(tables[2]).items())
-    assert _texts(tables[3]) == {i: t for (i, before), t in expected.items() if t == before or plain.words(t)}
+    before = _texts(tables[2])
+    expected = _against_all(before.items())
+    assert _texts(tables[3]) == {i: t for i, t in expected.items() if t == before[i] or plain.words(t)}
     assert all(r.n_chars == len(r.text) for r in tables[3].collect())
 
 

@@ -38,32 +38,6 @@ def test_blocks_are_equal_runs_and_all_of_length_one_are_found(a, b, least):
         assert gone == [j for j, x in enumerate(b) if x in a]
 
 
-def _deduplicated(rows, pair_words=lines.PAIR_WORDS, block_words=lines.BLOCK_WORDS):
-    """(id, text) of distinct documents in order, each aligned with the first holders of its longer lines."""
-    first, found = {}, {}
-    order = sorted({(i, t or "") for i, t in rows}, key=lambda d: (d[0] is not None, d[0]))
-    seen = [plain.stripped(t) for _, t in order]
-    for k, ((i, t), own) in enumerate(zip(order, seen)):
-        longer = [line for _, line in own if len(line.split()) >= pair_words]
-        gone = set()
-        for f in {first[line] for line in longer if line in first}:
-            blocks = lines.common_blocks(
-                [line for _, line in seen[f]], [line for _, line in own], [len(line.split()) for _, line in own], block_words
-            )
-            gone |= {own[p][0] for p in blocks}
-        for line in longer:
-            first.setdefault(line, k)
-        found[i, t] = "\n".join(line for p, line in enumerate(t.split("\n")) if p not in gone)
-    return found
-
-
-def test_line_dedup_of_documents(documents):
-    rows = [(r.doc_id, r.text) for r in documents.collect()]
-    expected = _deduplicated(rows)
-    assert {r.doc_id: r.text for r in lines.dedup(documents).collect()} == {i: t for (i, _), t in expected.items()}
-    assert any(len(a) > len(b) for (_, a), b in expected.items())
-
-
 PASSAGE = "\n".join(" ".join(f"p{i}w{j}" for j in range(30)) for i in range(3))
 
 
@@ -129,7 +103,9 @@ def test_blocks_whose_lines_have_other_first_holders(spark):
 
 
 def test_line_dedup_against_every_earlier_document(documents, texts):
-    assert {r.doc_id: r.text for r in lines.dedup(documents).collect()} == _against_all(texts.items())
+    expected = _against_all(texts.items())
+    assert {r.doc_id: r.text for r in lines.dedup(documents).collect()} == expected
+    assert any(len(t) > len(expected[i]) for i, t in texts.items())
 
 
 @given(small, small, st.lists(st.integers(1, 30), min_size=7, max_size=7), st.integers(1, 40))
@@ -139,6 +115,13 @@ def test_all_common_blocks_are_found(a, b, sizes, least):
     assert lines.common_blocks(a, b, words, least) == sorted(_blocks(a, b, words, least))
 
 
+@given(st.lists(st.integers(0, 2), max_size=40), st.lists(st.integers(0, 2), max_size=40), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_all_common_blocks_of_few_lines_that_repeat_are_found(a, b, least):
+    words = [2] * len(b)
+    assert lines.common_blocks(a, b, words, least) == sorted(_blocks(a, b, words, least))
+
+
 def test_a_block_that_short_lines_cross():
     first, later = ["s1", "x1", "s2", "x2", "P"], ["P", "s1", "y1", "s2", "y2"]
     assert lines.common_blocks(first, later, [60, 5, 5, 5, 5]) == [0]
