@@ -5,9 +5,11 @@ number of postings, and no text is shuffled. Statistics of terms are summed over
 score is the same whatever the shard. A shard keeps its documents in an order that puts alike ones
 side by side and, for each term and block of a few documents, the largest impact.
 
-A query is a set of weighted terms. In a shard the largest impacts of its terms add up to a bound for
-each block. Blocks are read in falling order of the bound, and those whose bound is below the k-th
-best score found so far are never read: no document in them can be among the best. Shards are asked in
+A query is a set of weighted terms. Those whose largest impacts in a shard add up to less than the k-th
+best score found so far cannot lift a document to it by themselves: a document is a candidate only if it
+has one of the other terms, so those are read first, as from the pivot of WAND on. The scores so far and
+the largest impacts of what is not read bound each block; blocks whose bound is below the k-th best score
+are passed over, and the postings of the remaining terms are sought in the others only. Shards are asked in
 waves, each several times as large as all before it and with the k-th best score found before as the
 least, so that a query gets a few times k documents from a wave, however many shards there are. The k
 best of all are merged exactly. Every row of the queries has a number of its own; they are sent to the shards in
@@ -29,13 +31,15 @@ from edgeflow.plans import Rounds, keep
 #: Constants of BM25.
 K1, B = 1.2, 0.75
 #: Postings of a shard, documents of a block, and the part of a shard's documents that have a frequent term.
-SHARD_POSTINGS, BLOCK, FREQUENT = 1_000_000, 64, 8
+SHARD_POSTINGS, BLOCK, FREQUENT = 2_000_000, 64, 8
 #: Queries sent to the shards at a time, and their terms.
-QUERIES, QUERY_TERMS = 2_000, 2_000_000
+QUERIES, QUERY_TERMS = 8_000, 2_000_000
 #: Shards of the first wave on average, and how many times as many the waves reach each time.
 FIRST_WAVE, GROWTH = 4, 8
 #: Queries that a shard answers together.
 TOGETHER = 32
+#: Postings that are read in the time of one seek.
+SEEK = 20
 #: Blocks that a query without a k-th best score reads first.
 FIRST = 4
 #: Words a worker remembers.
@@ -147,7 +151,8 @@ class Shard:
     """Postings of a shard with impacts; those of frequent terms as full rows, cut into blocks of documents.
 
     A frequent term has a row of impacts in each block and the largest of them. The other terms have
-    about one posting in each block they have any in, so their postings are their largest impacts.
+    about one posting in each block they have any in, so their postings are their largest impacts there,
+    beside the largest of the whole shard. `postings_read` counts the postings of these that were read.
     """
 
     def __init__(self, ids, lengths, terms, df, places, counts, mean_length):
@@ -162,6 +167,10 @@ class Shard:
         frequent = np.flatnonzero(df > self.documents / FREQUENT)
         self.row = np.full(len(terms), -1)
         self.row[frequent] = np.arange(len(frequent))
+        # the largest impact of each term, and the term and block of each posting, which rise
+        self.most = np.maximum.reduceat(self.impacts, self.starts[:-1]) if len(terms) else np.empty(0)
+        self.cells = np.repeat(np.arange(len(terms)) * self.blocks, df) + places // BLOCK
+        self.postings_read = 0
         rows = np.zeros((len(frequent), self.blocks * BLOCK))
         for row, term in enumerate(frequent):
             some = slice(self.starts[term], self.starts[term + 1])
@@ -170,27 +179,65 @@ class Shard:
         self.rows, self.largest = np.ascontiguousarray(blocks.transpose(1, 0, 2)), blocks.max(2)
 
     def asked(self, terms, weights):
-        """What a query gets from rare terms, (blocks, BLOCK), and its weights of the frequent ones."""
+        """The places and weights of the rare terms of a query, and its weights of all frequent ones."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         at, weights = at[there], weights[there]
         row = self.row[at]
         rare, often = row < 0, np.zeros(len(self.largest))
         often[row[~rare]] = weights[~rare]
-        at, weights = at[rare], weights[rare]
-        sizes = self.starts[at + 1] - self.starts[at]
-        postings = _ranges(self.starts[at], sizes)
+        return at[rare], weights[rare], often
+
+    def gains(self, starts, sizes, weights):
+        """What documents get from ranges of postings, (blocks, BLOCK)."""
+        postings = _ranges(starts, sizes)
+        self.postings_read += len(postings)
         gains = np.repeat(weights, sizes) * self.impacts[postings]
-        total = np.bincount(self.places[postings], gains, self.blocks * BLOCK)
-        return total.reshape(self.blocks, BLOCK).astype(float), often
+        return np.bincount(self.places[postings], gains, self.blocks * BLOCK).reshape(self.blocks, BLOCK).astype(float)
+
+    def rare(self, at, weights, often, least):
+        """What documents get from rare terms, and the bound of each block, 0 for blocks that cannot reach `least`.
+
+        `often`: the bounds of the blocks by the frequent terms. Blocks with the bound 0 are not summed in full.
+        """
+        starts, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
+        reach, first, later, below = (least - ROUNDING) / SLACK, np.arange(len(at)), np.arange(0), None
+        room = reach - often.max()
+        if room > 0:
+            largest = weights * self.most[at]
+            order = np.argsort(largest)
+            below = np.cumsum(largest[order])
+            split = np.searchsorted(below, room)
+            later, first = order[:split], order[split:]
+        total, near = self.gains(starts[first], sizes[first], weights[first]), np.arange(self.blocks)
+        while True:
+            sums = total.max(1) + often
+            near = near[sums[near] + (below[len(later) - 1] if len(later) else 0) >= reach]
+            if not len(later) or not len(near):
+                break
+            # those with the larger impacts first, as they close blocks; few postings are read at once
+            half = len(later) // 2 if sizes[later].sum() > SEEK * self.blocks else 0
+            later, now = later[:half], later[half:]
+            if len(near) * len(now) * SEEK < sizes[now].sum():
+                cells = (at[now][:, None] * self.blocks + near).ravel()
+                low, high = (np.searchsorted(self.cells, cells, side) for side in ("left", "right"))
+                total += self.gains(low, high - low, np.repeat(weights[now], len(near)))
+            else:
+                total += self.gains(starts[now], sizes[now], weights[now])
+        bounds = np.zeros(self.blocks)
+        bounds[near] = sums[near]
+        return total, bounds
 
     def best(self, queries, k, least):
         """(places, scores) for each of some queries (terms, weights): its `k` best documents that reach its `least`.
 
         Scores are rounded; of equal ones the smaller id is better.
         """
-        totals, often = (np.stack(x) for x in zip(*(self.asked(*query) for query in queries)))
-        bounds = (totals.max(2) + often @ self.largest) * SLACK
+        asked = [self.asked(*query) for query in queries]
+        often = np.stack([o for _, _, o in asked])
+        found = [self.rare(*a[:2], o, l) for a, o, l in zip(asked, often @ self.largest, least)]
+        totals, bounds = (np.stack(x) for x in zip(*found))
+        bounds *= SLACK
         read = np.zeros(bounds.shape, bool)
 
         def scores_of(number):

@@ -8,6 +8,7 @@ import plain
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import numpy as np
 from pyspark.sql import functions as F
 
 from edgeflow.llm import licence_terms, licences, lines, pages, rules, search
@@ -149,6 +150,40 @@ def test_search_against_brute_force(documents, texts, monkeypatch, k, postings):
     _close(found, plain.bm25(texts, {i: t for i, t in texts.items() if i % 20 == 0}, k), k)
 
 
+def _random_shard(seed, documents=1_500, words=3_000, length=60):
+    """A shard of documents of a few frequent and many rare terms, a sixth of them copies, and each one's query."""
+    draw = np.random.default_rng(seed)
+    found = []
+    for _ in range(documents):
+        bag = np.where(draw.random(length) < 0.2, draw.integers(0, 5, length), draw.integers(5, words, length))
+        found.append(np.unique(bag[: draw.integers(1, length)], return_counts=True))
+    for first in range(0, documents - 9, 50):
+        found[first + 1: first + 9] = [found[first]] * 8
+    made = search._shard(list(range(documents)), found)
+    places, counts = (np.frombuffer(made[n], "<i4") for n in ("places", "counts"))
+    shard = search.Shard(made["ids"], made["lengths"], made["terms"], made["df"], places, counts, made["lengths"].mean())
+    df = np.zeros(words)
+    df[made["terms"]] = made["df"]
+    return shard, [(t, c * np.log(1 + (documents - df[t] + 0.5) / (df[t] + 0.5))) for t, c in found]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seek", [0, 20, 10**9])
+def test_terms_below_the_least_score_are_sought_in_open_blocks_only(monkeypatch, seed, seek):
+    monkeypatch.setattr(search, "SEEK", seek)
+    shard, queries = _random_shard(seed)
+    for at in range(0, len(queries), 100):
+        some = queries[at: at + 20]
+        shard.postings_read = 0
+        whole = shard.best(some, 5, [-np.inf] * len(some))
+        all_read, shard.postings_read = shard.postings_read, 0
+        least = [scores.min() if len(scores) == 5 else -np.inf for _, scores in whole]
+        pruned = shard.best(some, 5, least)
+        for (places, scores), (where, found) in zip(whole, pruned):
+            assert places.tolist() == where.tolist() and np.allclose(scores, found, rtol=0, atol=2e-6)
+        assert shard.postings_read < all_read if seek < 10**9 else shard.postings_read <= all_read
+
+
 def test_queries_of_one_id_are_answered_each(spark):
     docs = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(20)], "doc_id bigint, text string")
     asked = spark.createDataFrame([(7, "w3"), (7, "w10 w10"), (7, "w3"), (7, None), (8, "w19"), (None, "w5")], "doc_id bigint, text string")
