@@ -181,7 +181,8 @@ def test_terms_below_the_least_score_are_sought_in_open_blocks_only(monkeypatch,
         pruned = shard.best(some, 5, least)
         for (places, scores), (where, found) in zip(whole, pruned):
             assert places.tolist() == where.tolist() and np.allclose(scores, found, rtol=0, atol=2e-6)
-        assert shard.postings_read < all_read if seek < 10**9 else shard.postings_read <= all_read
+        # where a seek costs nothing, fewer are read; where it costs much, all of the open terms are
+        assert shard.postings_read < all_read if seek == 0 else shard.postings_read <= all_read
 
 
 def test_queries_of_one_id_are_answered_each(spark):
