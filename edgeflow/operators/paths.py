@@ -21,7 +21,7 @@ def bfs_distances(G, sources, max_rounds=None, slice_rows=SLICE_ROWS):
     spark = G.sparkSession
     out_degrees = G.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     hot = found_once(hot_keys(out_degrees, slice_rows))
-    edges = settled(G.select("src", "dst").distinct(), "src", hot, "dst")
+    edges = settled(G.select("src", "dst").distinct(), "src", hot, "dst", G.count())
     rounds = Rounds(spark, "bfs", "source bigint, id bigint")
     try:
         touched = edges.where(F.col("src").isin(*sources) | F.col("dst").isin(*sources))

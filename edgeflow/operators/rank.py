@@ -35,7 +35,7 @@ def chain_pagerank(edges, ranks, n=None, sink=0, iters=10):
     The state keeps each vertex beside its successor, so a round is one aggregate over the state and
     one join with the vertices, which stay partitioned by id.
     """
-    edges = settled(edges.select(F.col("src").alias("id"), "dst"), "id")
+    edges = settled(edges.select(F.col("src").alias("id"), "dst"), "id", size=edges.count())
     rounds = Rounds(edges.sparkSession, "chain-pagerank", "id bigint, dst bigint, pr double")
     try:
         n = edges.count() if n is None else n
@@ -62,9 +62,10 @@ def pagerank(G, damping=1.0, iters=10, slice_rows=SLICE_ROWS):
     """
     spark = G.sparkSession
     out = follower_count_all(reverse_edges(G), G.select(F.col("dst").alias("id")))
-    points = settled(out.withColumnRenamed("n", "n_out"), "id")
+    size = G.count()
+    points = settled(out.withColumnRenamed("n", "n_out"), "id", size=2 * size)
     hot = found_once(hot_keys(points.select("id", F.col("n_out").alias("n")), slice_rows))
-    edges = settled(weighted(G), "src", hot, "dst")
+    edges = settled(weighted(G), "src", hot, "dst", size)
     rounds = Rounds(spark, "pagerank", "id bigint, n_out bigint, pr double")
     try:
         n = points.count()
@@ -118,9 +119,10 @@ def pagerank_residual(G, damping=0.85, tolerance=1e-6, restart=None, max_rounds=
         raise ValueError("damping is at least 0 and below 1")
     spark = G.sparkSession
     out = follower_count_all(reverse_edges(G), G.select(F.col("dst").alias("id")))
-    points = settled(out.withColumnRenamed("n", "n_out"), "id")
+    size = G.count()
+    points = settled(out.withColumnRenamed("n", "n_out"), "id", size=2 * size)
     hot = found_once(hot_keys(points.select("id", F.col("n_out").alias("n")), slice_rows))
-    edges = settled(weighted(G), "src", hot, "dst")
+    edges = settled(weighted(G), "src", hot, "dst", size)
     rounds = Rounds(spark, "residual-rank", "id bigint, n_out bigint, home double, pr double, residual double")
     try:
         starts = F.lit(True) if restart is None else F.col("id").isin(*restart)

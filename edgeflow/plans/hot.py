@@ -44,11 +44,11 @@ def slice_keys(key, hot):
     return [key] if hot is None else [key, "slice"]
 
 
-def settled(rows, key, hot=None, by=None):
-    """`rows` cached for many joins on `key`: partitioned and sorted once, hot keys in slices."""
+def settled(rows, key, hot=None, by=None, size=0):
+    """`rows`, at most `size`, cached for many joins on `key`: partitioned and sorted once, hot keys in slices."""
     keys = slice_keys(key, hot)
     sliced = with_slice(rows, key, hot, by)
-    return sliced.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).persist()
+    return sliced.repartition(partitions(rows.sparkSession, size), *keys).sortWithinPartitions(*keys).persist()
 
 
 def _slices(rows, key, hot):

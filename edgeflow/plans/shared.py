@@ -8,6 +8,9 @@ import itertools
 import tempfile
 import uuid
 
+#: Rows of a few numbers that a task holds in a cached partition.
+PARTITION_ROWS = 4_000_000
+
 _session_folders = {}
 _numbers = itertools.count()
 
@@ -64,9 +67,13 @@ def keep(df, name):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark):
-    """Partition count for tables that stay partitioned on a key over many rounds."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark, rows=0):
+    """Partition count for tables that stay partitioned on a key over many rounds.
+
+    The session's count is the least, as Spark would shuffle a smaller one again; more than that for
+    more than PARTITION_ROWS `rows` in each.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
 
 
 class Rounds:

@@ -2,7 +2,8 @@
 
 import pytest
 
-from edgeflow.plans import shared
+from edgeflow.operators import bfs_distances, pagerank
+from edgeflow.plans import settled, shared
 
 
 def test_folder_comes_from_the_session(spark):
@@ -46,3 +47,21 @@ def test_drop_written(spark, monkeypatch):
     shared.drop_written(spark)
     assert not os.path.exists(folder)
     assert shared._session_folder(spark) != folder
+
+
+@pytest.mark.parametrize("rows, expected", [(0, 4), (8_000_000, 4), (16_000_001, 5), (10**13, 2_500_000)])
+def test_cached_partitions_go_with_the_rows(spark, rows, expected):
+    assert shared.partitions(spark, rows) == expected
+
+
+def test_loops_over_many_edges_keep_small_partitions(spark, monkeypatch):
+    monkeypatch.setattr(shared, "PARTITION_ROWS", 20)
+    G = spark.range(200).selectExpr("id AS src", "(id + 1) % 200 AS dst")
+    kept = settled(G, "src", size=G.count())
+    try:
+        assert kept.rdd.getNumPartitions() == 10
+    finally:
+        kept.unpersist()
+    assert {(r.id, r.dist) for r in bfs_distances(G, [0]).collect()} == {(i, i) for i in range(200)}
+    ranks = pagerank(G, iters=2).where("round = 2").collect()
+    assert len(ranks) == 200 and all(abs(r.pr - 1 / 200) < 1e-9 for r in ranks)
