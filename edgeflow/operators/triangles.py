@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from edgeflow.functions import record
 from edgeflow.operators.edges import weighted
-from edgeflow.plans.hot import SLICE_ROWS, hot_keys, join_on_vertex, slice_copies, with_slice
-from edgeflow.plans.shared import keep
+from edgeflow.plans.hot import HOT_KEYS, SLICE_ROWS, hot_keys, join_on_vertex, slice_copies, with_slice
+from edgeflow.plans.shared import keep, partitions
 from edgeflow.schema import exact
 
 STRATEGIES = ("auto", "broadcast", "shuffle_merge", "shuffle_hash", "preagg")
@@ -20,6 +20,10 @@ STRATEGIES = ("auto", "broadcast", "shuffle_merge", "shuffle_hash", "preagg")
 # Edges a replicated join may ship to every executor; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
+# Rows or paths that a task of `two_paths` groups, and rows of a side of a slice.
+TASK_ROWS = 1_000_000
+SIDE_ROWS = 1000
+
 
 def _side(df, strategy):
     """Ask for the physical join of `strategy` with `df` as its build side."""
@@ -39,20 +43,44 @@ def _checked(edges, strategy):
 def two_paths(G, strategy="auto", slice_rows=SLICE_ROWS):
     """Pairs joined by a path of length two, with the number of such paths: (f1, u2, n).
 
-    The in-edges and out-edges of a hot middle vertex are cut into slices and every in-slice meets
-    every out-slice in a task of its own.
+    Their number is known from the degrees and sets the number of tasks, so that a task has about
+    TASK_ROWS paths. The in-edges and out-edges of a middle vertex with many paths are cut into slices
+    of SIDE_ROWS at most and every in-slice meets every out-slice by itself.
     """
     strategy = _checked(G, strategy)
-    E = weighted(G)
-    hot_in, hot_out = (
-        hot_keys(G.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n")), slice_rows)
-        for end in ("dst", "src")
+    spark = G.sparkSession
+    size = G.count()
+    # parallel edges meet in tasks of bounded size, not in one map for each split of the input
+    E = weighted(G.repartition(partitions(spark, size, TASK_ROWS), "src", "dst"))
+    ends = F.array(
+        record(id=F.col("src"), n_in=F.lit(0), n_out=F.lit(1)), record(id=F.col("dst"), n_in=F.lit(1), n_out=F.lit(0))
     )
+    degrees = E.select(F.inline(ends)).groupBy("id").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"))
+    degrees = keep(degrees, "two-path-degrees")
+    share = size // HOT_KEYS + 1
+    side, most = max(min(slice_rows, SIDE_ROWS), share), max(slice_rows, share)
+    pairs = exact("n_in") * exact("n_out")
+    hot = degrees.where((pairs > side * side) | (F.greatest("n_in", "n_out") > most))
+    total = degrees.agg(F.sum(pairs)).first()[0] or 0
+    tasks = partitions(spark, int(total) + 2 * size, TASK_ROWS)
+    sliced = not hot.isEmpty()
+
+    def slices(n):
+        limit = F.lit(side)
+        number = F.call_function("div", F.col(n) + limit - 1, limit)
+        return hot.select("id", F.greatest(number, F.lit(1)).cast("int").alias("slices")) if sliced else None
+
+    hot_in, hot_out = slices("n_in"), slices("n_out")
+    keys = ["mid", "i", "j"] if sliced else ["mid"]
     first = E.select(F.col("src").alias("f1"), F.col("dst").alias("mid"), F.col("w").alias("w1"))
     second = E.select(F.col("src").alias("mid"), F.col("dst").alias("u2"), F.col("w").alias("w2"))
     first = slice_copies(with_slice(first, "mid", hot_in, "f1", name="i"), "mid", hot_out, name="j")
     second = slice_copies(with_slice(second, "mid", hot_out, "u2", name="j"), "mid", hot_in, name="i")
-    paths = first.join(_side(second, strategy), ["mid", "i", "j"])
+    if strategy != "broadcast":
+        second = second.repartition(tasks, *keys)
+    paths = first.repartition(tasks, *keys).join(_side(second, strategy), keys)
+    # hardly any path of a task is like another: they are added up after the shuffle only
+    paths = paths.select("f1", "u2", "w1", "w2").repartition(tasks, "f1", "u2")
     return paths.groupBy("f1", "u2").agg(exact(F.sum(exact("w1") * exact("w2"))).alias("n"))
 
 

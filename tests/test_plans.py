@@ -122,6 +122,18 @@ def test_no_python_and_no_cross_join(spark):
             assert operator not in plan, (name, operator)
 
 
+def test_two_paths_take_more_tasks_with_more_paths(edges_from, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(triangles, "TASK_ROWS", 500)
+    monkeypatch.setattr(triangles, "SIDE_ROWS", 10)
+    # 10,000 paths through one vertex, which one task would join
+    G = edges_from([(i, 1_000) for i in range(100)] + [(1_000, 2_000 + i) for i in range(100)])
+    found = ef.two_paths(G)
+    per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 10_000 and max(r["count"] for r in per_task) <= 1_000
+
+
 def test_hot_keys_are_few_and_sliced(spark, monkeypatch):
     from edgeflow.plans import hot
 
