@@ -1,5 +1,7 @@
 """Line dedup, search, quality rules, licences and pages."""
 
+import re
+from collections import Counter, defaultdict
 from pathlib import Path
 
 from cases import EDGE, SF, documents, edge, empty, texts  # noqa: F401
@@ -185,6 +187,63 @@ def test_terms_below_the_least_score_are_sought_in_open_blocks_only(monkeypatch,
         assert shard.postings_read < all_read if seek == 0 else shard.postings_read <= all_read
 
 
+def test_words_are_those_of_the_pattern():
+    texts = ["", " \n", "One two_two, one.", "Ünï çödé ß Σ ς İ ı 漢字 🎉 x²½ ٣ a\x1cb\x85c", "x" * 300_000, "w" + " w7 v" * 60_000, "last"]
+    assert max(map(len, texts)) > 2 * search.PIECE
+    number = {}
+    for text, (terms, counts) in zip(texts, search._bags(texts)):
+        words = Counter(re.findall(r"[^\W_]+", text.lower()))
+        assert terms.tolist() == sorted(set(terms.tolist())) and all(t >= 0 for t in terms)
+        alone = {int(search._bags([word])[0][0][0]): n for word, n in words.items()}
+        assert dict(zip(terms.tolist(), counts.tolist())) == alone
+        number.update(zip(words, alone))
+    assert len(set(number.values())) == len(number)
+
+
+def test_documents_of_other_languages_are_in_other_shards():
+    draw = np.random.default_rng(3)
+    found = [np.unique(draw.integers(0, 40, 30) + 1000 * (i % 3), return_counts=True) for i in range(300)]
+    groups = search._alike(found, 200)
+    assert sorted(tuple(sorted({i % 3 for i in g})) for g in groups) == [(0,), (1,), (2,)]
+    assert sorted(i for g in groups for i in g) == list(range(300))
+    # too few postings to part, and documents without words
+    assert [g.tolist() for g in search._alike(found, 10**6)] == [list(range(300))]
+    none = np.empty(0, np.int64)
+    assert sum(len(g) for g in search._alike([(none, none)] * 5 + found, 200)) == 305
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("cells, listed", [(0, 1), (1, 4), (10**9, 10**9)])
+def test_answers_are_the_same_by_products_and_by_postings(monkeypatch, seed, cells, listed):
+    monkeypatch.setattr(search, "FREQUENT", 100)
+    monkeypatch.setattr(search, "LISTED", listed)
+    monkeypatch.setattr(search, "CELLS", cells)
+    shard, queries = _random_shard(seed, documents=400, words=300)
+    for query, (places, scores) in zip(queries[:40], shard.best(queries[:40], 7, [-np.inf] * 40)):
+        sums = defaultdict(float)
+        for term, weight in zip(*query):
+            at = np.searchsorted(shard.terms, term)
+            for posting in range(shard.starts[at], shard.starts[at + 1]):
+                sums[int(shard.places[posting])] += weight * shard.impacts[posting]
+        expected = sorted((-round(s, search.PLACES), shard.id_order[place]) for place, s in sums.items())[:7]
+        assert [-s for s in scores] == pytest.approx([s for s, _ in expected], abs=2e-6)
+        assert [shard.id_order[p] for p in places] == [i for _, i in expected]
+
+
+def test_many_partitions_of_files_make_fewer_shards(spark, tmp_path):
+    texts = spark.range(400).selectExpr("id AS doc_id", "concat('word', id, ' text') AS text").repartition(100)
+    texts.write.parquet(str(tmp_path / "docs"))
+    files = spark.read.parquet(str(tmp_path / "docs"))
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert files.rdd.getNumPartitions() > search.CORE_TASKS * cores
+        assert search._gathered(files).rdd.getNumPartitions() == search.CORE_TASKS * cores
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert search._gathered(files.repartition(500)).count() == 400
+
+
 def test_queries_of_one_id_are_answered_each(spark):
     docs = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(20)], "doc_id bigint, text string")
     asked = spark.createDataFrame([(7, "w3"), (7, "w10 w10"), (7, "w3"), (7, None), (8, "w19"), (None, "w5")], "doc_id bigint, text string")
